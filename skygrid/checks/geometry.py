@@ -14,9 +14,9 @@ from skygrid.params import BITMAP_BLOCK
 from skygrid.schema import CELL_VARIABLES, MAP_VARIABLES
 from skygrid.sources import adapters as ad, folders, tables
 
-# Map template of the checks: 10 km cells over the grid, and a twentieth of a degree around it.
-MAP = ra.Raster(ad.CELL_XMIN, ad.CELL_YMAX, 10000.0, 50, 50)
-MAP_LONLAT = ra.Raster(-5.6, 41.7, 0.1, 48, 64)
+# Map template of the checks: 5 km cells over the grid, drawn at a fifth of a degree (about a 20 km block).
+MAP = ra.Raster(ad.CELL_XMIN, ad.CELL_YMAX, 5000.0, 100, 100)
+MAP_LONLAT = ra.Raster(-5.6, 41.7, 0.2, 24, 32)
 EXTENT = (ad.CELL_XMIN, ad.CELL_XMAX, ad.CELL_YMIN, ad.CELL_YMAX)
 
 # The projection written out for the second engine from a published form of the series (Karney 2011
@@ -225,12 +225,12 @@ def terrain(spark, sf):
         "cell_id", "elevation", "slope", "aspect", "TPI")
 
 
-_CELL = "floor((4600137e0 - y) / 10000e0) as r_, floor((x - 300137e0) / 10000e0) as c_"
+_CELL = "floor((4600137e0 - y) / 5000e0) as r_, floor((x - 300137e0) / 5000e0) as c_"
 
 
 @query("point_to_cell", sql("v_stations", f"""
-  select sid, r_ * 50 + c_ + 1 as cell from (select sid, {_CELL} from v_stations) where r_ between 0 and 49 and c_ between 0 and 49
-  union all select sid, null from (select sid, {_CELL} from v_stations) where not (r_ between 0 and 49 and c_ between 0 and 49)""",
+  select sid, r_ * 100 + c_ + 1 as cell from (select sid, {_CELL} from v_stations) where r_ between 0 and 99 and c_ between 0 and 99
+  union all select sid, null from (select sid, {_CELL} from v_stations) where not (r_ between 0 and 99 and c_ between 0 and 99)""",
     "", "sid cell"))
 def point_to_cell(spark, sf):
     return ra.point_to_cell(ad.stations(spark, sf), MAP).select("sid", "cell")
@@ -238,7 +238,7 @@ def point_to_cell(spark, sf):
 
 _LAYERS = {"v_layers": "select dates, r_, c_, var, value from (select dates, r_, c_, " + ", ".join(
     f'arg_max_null({v}, cell_id) as "{v}"' for v in MAP_VARIABLES) + f""" from (select *, {_CELL} from v_icells)
-  where r_ between 0 and 49 and c_ between 0 and 49 group by dates, r_, c_) unpivot include nulls (value for var in (""" + ", ".join(
+  where r_ between 0 and 99 and c_ between 0 and 99 group by dates, r_, c_) unpivot include nulls (value for var in (""" + ", ".join(
     f'"{v}"' for v in MAP_VARIABLES) + "))",
     "v_blocks": """select dates, var, floor(r_ / 4) as r_, floor(c_ / 4) as c_, avg(value) as value
       from v_layers group by dates, var, floor(r_ / 4), floor(c_ / 4)"""}
@@ -262,14 +262,14 @@ def raster_aggregate_mean(spark, sf):
     return blocks(spark, sf).withColumnsRenamed({"row": "r_", "col": "c_"})
 
 
-_TARGET = """select cast(floor(i / 64) as bigint) as tr, i % 64 as tc, -5.6e0 + (i % 64 + 5e-1) * 1e-1 as lon,
-  41.7e0 - (floor(i / 64) + 5e-1) * 1e-1 as lat from range(48 * 64) t(i)"""
+_TARGET = """select cast(floor(i / 32) as bigint) as tr, i % 32 as tc, -5.6e0 + (i % 32 + 5e-1) * 2e-1 as lon,
+  41.7e0 - (floor(i / 32) + 5e-1) * 2e-1 as lat from range(24 * 32) t(i)"""
 _LONLAT = _LAYERS | {
     "v_target": _TARGET,
-    "v_uv": "select tr, tc, (px - 300137e0) / 40000e0 - 5e-1 as u, (4600137e0 - py) / 40000e0 - 5e-1 as v from ("
+    "v_uv": "select tr, tc, (px - 300137e0) / 20000e0 - 5e-1 as u, (4600137e0 - py) / 20000e0 - 5e-1 as v from ("
             + to_xy_sql("v_target", "tr tc lon lat") + ")",
     "v_weights": """select tr, tc, r_, c_, greatest(1e0 - abs(v - r_), 0e0) * greatest(1e0 - abs(u - c_), 0e0) as w from v_uv
-      join (select cast(a.i as bigint) as r_, cast(b.i as bigint) as c_ from range(13) a(i) cross join range(13) b(i)) g
+      join (select cast(a.i as bigint) as r_, cast(b.i as bigint) as c_ from range(25) a(i) cross join range(25) b(i)) g
       on abs(v - r_) < 1e0 and abs(u - c_) < 1e0""",
     "v_maps": """select dates, var, tr, tc, round(1000e0 * value, 0) as value from (
       select b.dates, b.var, w.tr, w.tc, sum(w.w * b.value) / sum(w.w) as value from v_blocks b
@@ -325,8 +325,8 @@ def layer_min_max(spark, sf):
 
 
 @query("bitmap_rows", sql("v_icells", """
-  select strftime(dates, '%Y%m%d') as date, var, 'ag_GrnYl' as palette_selected, -5.6e0 as left_ext, 41.7e0 - 48 * 1e-1 as down_ext,
-    -5.6e0 + 64 * 1e-1 as right_ext, 41.7e0 as up_ext, min(value) / 1000e0 as min_value, max(value) / 1000e0 as max_value
+  select strftime(dates, '%Y%m%d') as date, var, 'ag_GrnYl' as palette_selected, -5.6e0 as left_ext, 41.7e0 - 24 * 2e-1 as down_ext,
+    -5.6e0 + 32 * 2e-1 as right_ext, 41.7e0 as up_ext, min(value) / 1000e0 as min_value, max(value) / 1000e0 as max_value
   from v_maps group by dates, var""", "date var palette_selected", "", "left_ext down_ext right_ext up_ext min_value max_value", more=_LONLAT))
 def bitmap_rows(spark, sf):
     return bm.bitmap_rows(maps(spark, sf), MAP_LONLAT)

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skygrid.sources.oracle import with_views
 
+# Means of few decimal values often lie halfway between two roundings, where the last bit of a sum
+# decides. Both engines round a little to the side of it.
+OFF_TIES = 3.7e-8
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -33,7 +37,7 @@ def plain(df: DataFrame) -> DataFrame:
         elif kind in ("tinyint", "smallint", "int"):
             c = c.cast("bigint")
         elif kind in ("double", "float"):
-            c = F.round(c.cast("double"), 4) + F.lit(0.0)
+            c = F.round(c.cast("double") + OFF_TIES, 4) + F.lit(0.0)
         out.append(c.alias(name))
     return df.select(*out)
 
@@ -43,7 +47,7 @@ def sql(views: str, body: str, text: str = "", ints: str = "", nums: str = "", f
     picks = (
         [f'cast("{c}" as varchar) as "{c}"' for c in text.split()]
         + [f'cast("{c}" as bigint) as "{c}"' for c in ints.split()]
-        + [f'round(cast("{c}" as double), 4) + 0e0 as "{c}"' for c in nums.split()]
+        + [f'round(cast("{c}" as double) + {OFF_TIES}, 4) + 0e0 as "{c}"' for c in nums.split()]
         + [f'"{c}" as "{c}"' for c in flags.split()]
     )
     head = with_views(*views.split(), more=more) if views or more else ""

@@ -22,7 +22,7 @@ def error_sums() -> dict[str, Column]:
     """What is summed per day and parameter pair; every statistic over any set of days follows from it."""
     o, q = F.col("obs"), F.col("pred")
     return {
-        "n": F.lit(1.0), "sum_abs": F.abs(q - o), "sum_err": q - o, "sum_obs": o, "sum_pred": q,
+        "n_obs": F.lit(1.0), "sum_abs": F.abs(q - o), "sum_err": q - o, "sum_obs": o, "sum_pred": q,
         "sum_oo": o * o, "sum_pp": q * q, "sum_op": o * q,
     }
 
@@ -96,12 +96,12 @@ def rolled_errors(daily: DataFrame, frames: DataFrame, grid: Grid, window: int =
     summed = rows.select(
         F.col("dates").alias("date_fin"), "i_step", "variable", "N", "alpha", "mark",
         *[F.sum(c).over(span).alias(c) for c in names])
-    return summed.filter(F.col("mark") & (F.col("n") > 0.5)).drop("mark")
+    return summed.filter(F.col("mark") & (F.col("n_obs") > 0.5)).drop("mark")
 
 
-def best_params(errors: DataFrame, keys: list[str]) -> DataFrame:
+def best_params(errors: DataFrame, keys: list[str], count: str = "n_obs") -> DataFrame:
     """(N, alpha) of least mean absolute error; errors equal to six decimals go to the lower N, then alpha."""
-    mae = F.round(F.col("sum_abs") / F.col("n"), 6)
+    mae = F.round(F.col("sum_abs") / F.col(count), 6)
     best = errors.groupBy(*keys, "variable").agg(
         F.min(F.struct(mae.alias("mae"), F.col("N"), F.col("alpha"))).alias("b"))
     return best.select(*keys, "variable", F.col("b.N").alias("N"), F.col("b.alpha").alias("alpha"), F.col("b.mae").alias("mae"))

@@ -113,19 +113,28 @@ def partition_boxes(topo: DataFrame) -> DataFrame:
         F.col("partition").alias("i_step"), "xmin", "xmax", "ymin", "ymax", F.col("topo_nrow").alias("topo_ncells"))
 
 
-def row_chunks(df: DataFrame, bucket: list[str], order: list[str], chunks: int) -> DataFrame:
-    """Rows in order of ``bucket`` then ``order``, cut into equal chunks.
+def _numbered(df: DataFrame, bucket: list[str], order: list[str]) -> DataFrame:
+    """Rows with their place in the order of ``bucket`` then ``order``, and the row count.
 
     No task numbers all rows: rows are numbered inside their bucket and the row counts of the buckets
     before give the offset. Only the bucket counts, one row per bucket, are ordered as a whole.
     """
-    numbered = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*bucket).orderBy(*order)))
+    inside = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*bucket).orderBy(*order)))
     counts = df.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select(
         *bucket, (F.sum("_n").over(Window.orderBy(*bucket)) - F.col("_n")).alias("_before"),
         F.sum("_n").over(Window.partitionBy()).alias("_total"),
     )
+    return inside.join(before, bucket).withColumn("_row", F.col("_before") + F.col("_rank")).drop("_rank", "_before")
+
+
+def row_numbers(df: DataFrame, bucket: list[str], order: list[str], name: str) -> DataFrame:
+    """The place of each row in the order of ``bucket`` then ``order``, from 1."""
+    return _numbered(df, bucket, order).drop("_total").withColumnRenamed("_row", name)
+
+
+def row_chunks(df: DataFrame, bucket: list[str], order: list[str], chunks: int) -> DataFrame:
+    """Rows in order of ``bucket`` then ``order``, cut into equal chunks."""
     size = F.ceil(F.col("_total") / chunks)
-    return numbered.join(before, bucket).withColumn(
-        "chunk", F.ceil((F.col("_before") + F.col("_rank")) / size).cast("bigint")
-    ).drop("_rank", "_before", "_total")
+    return _numbered(df, bucket, order).withColumn(
+        "chunk", F.ceil(F.col("_row") / size).cast("bigint")).drop("_row", "_total")

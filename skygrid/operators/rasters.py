@@ -87,12 +87,11 @@ def projection_weights(spark: SparkSession, source: Raster, target: Raster) -> D
         ((source.ymax - y) / source.resolution - 0.5).alias("v"))
     at = at.withColumns({"c0": F.floor("u").cast("bigint"), "r0": F.floor("v").cast("bigint")})
     fu, fv = F.col("u") - F.col("c0"), F.col("v") - F.col("r0")
-    near = at.select("trow", "tcol", F.inline(F.array(
-        F.struct(F.col("r0").alias("row"), F.col("c0").alias("col"), ((1.0 - fu) * (1.0 - fv)).alias("w")),
-        F.struct(F.col("r0"), F.col("c0") + 1, fu * (1.0 - fv)),
-        F.struct(F.col("r0") + 1, F.col("c0"), (1.0 - fu) * fv),
-        F.struct(F.col("r0") + 1, F.col("c0") + 1, fu * fv),
-    )))
+    def corner(dr: int, dc: int) -> Column:
+        w = (fv if dr else 1.0 - fv) * (fu if dc else 1.0 - fu)
+        return F.struct((F.col("r0") + dr).alias("row"), (F.col("c0") + dc).alias("col"), w.alias("w"))
+
+    near = at.select("trow", "tcol", F.inline(F.array(*[corner(dr, dc) for dr in (0, 1) for dc in (0, 1)])))
     return near.filter((F.col("w") > 0) & source.holds(F.col("row"), F.col("col")))
 
 
