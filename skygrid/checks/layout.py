@@ -162,6 +162,15 @@ def load_interpolator(spark, sf):
         "date_fin", "i_step", "n_stations", "tmin_n", "tmin_alpha", "tmin_mae", "prec_amount_n", "prec_amount_mae")
 
 
+def placed_table(spark, sf):
+    """The same as a written table, as the pipeline stores it, for steps that read it many times."""
+    return spark.read.parquet(stored(spark, sf, "placed", lambda path: tables.materialize(placed(spark, sf), path)))
+
+
+def topo_table(spark, sf):
+    return spark.read.parquet(stored(spark, sf, "topo_plain", lambda path: tables.materialize(ad.topo(spark, sf), path)))
+
+
 def placed(spark, sf):
     """Masked station-days under every partition whose buffered box holds the station."""
     obs = st.normalize(ad.obs(spark, sf))

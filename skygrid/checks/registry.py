@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from skygrid.session import tune
 from skygrid.sources.oracle import with_views
 
 # Means of few decimal values often lie halfway between two roundings, where the last bit of a sum
@@ -19,7 +20,7 @@ SQL: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     """Register a function of (spark, folder) under ``name``, with its SQL when there is one."""
     def register(fn):
-        QUERIES[name] = lambda spark, sf: plain(fn(spark, sf))
+        QUERIES[name] = lambda spark, sf: plain(fn(tune(spark), sf))
         if sql is not None:
             SQL[name] = sql
         return fn

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from skygrid.checks.geometry import members
-from skygrid.checks.layout import CELL_NUMS, placed
+from skygrid.checks.layout import CELL_NUMS, placed, placed_table
 from skygrid.checks.registry import query, sql
 from skygrid.functions import columns
 from skygrid.operators import calibrate as cb, grid, neighbours as nb, regions as rg, stations as st, validate as va
@@ -145,7 +145,7 @@ _CV = """bias, mae, relative_bias, n, case when vo > 1e-9 and vp > 1e-9 then r *
 
 
 def toy_predictions(spark, sf):
-    return placed(spark, sf).select(
+    return placed_table(spark, sf).select(
         "dates", "i_step", "stationID", F.col("MaxTemperature").alias("obs"),
         (F.col("MinTemperature") + 9.0 + F.col("i_step") % 5).alias("pred"))
 

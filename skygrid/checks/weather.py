@@ -11,13 +11,13 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from skygrid.checks.geometry import LONLAT_STEP, members
-from skygrid.checks.layout import CELL_NUMS, placed
+from skygrid.checks.layout import CELL_NUMS, placed_table, stored, topo_table
 from skygrid.checks.registry import query, sql
 from skygrid.functions import geo, weather
 from skygrid.operators import calibrate as cb, grid, interpolate as ip, neighbours as nb, stations as st, validate as va
 from skygrid.params import CALIBRATED, DEFAULTS
 from skygrid.schema import CELL_VARIABLES
-from skygrid.sources import adapters as ad
+from skygrid.sources import adapters as ad, tables
 
 # ---- SQL twins of the method, written from the papers' formulas ------------------------------------
 
@@ -106,7 +106,7 @@ def day_steps(*variables: str) -> dict[str, str]:
 
 
 def day_moments(spark, sf, *variables):
-    return ip.interpolate(ad.topo(spark, sf), placed(spark, sf), variables=variables)
+    return ip.interpolate(topo_table(spark, sf), placed_table(spark, sf), variables=variables)
 
 
 # ---- pairs and radii ----------------------------------------------------------------------------
@@ -158,9 +158,11 @@ _RADIUS, _ = radius_steps("v_ct", "v_st", "i_step", "i_step cell_id x y z", {"Mi
 @query("estimate_radius", sql(
     "v_member v_topo", 'select cell_id, rp_MinTemperature / 1000e0 as radius_km from r_p3', "", "cell_id", "radius_km", more=_STATIC | _RADIUS))
 def estimate_radius(spark, sf):
-    targets = ip.with_params(nb.chunk_targets(static_targets(spark, sf), ["i_step"], "cell_id"), ["MinTemperature"])
+    targets = nb.chunk_targets(static_targets(spark, sf), ["i_step"], "cell_id")
     sources = nb.repeat_sources(static_sources(spark, sf), nb.chunk_counts(static_targets(spark, sf), ["i_step"]), ["i_step"])
-    radii = nb.estimate_radii(targets, sources, ["i_step", "chunk"], {"MinTemperature": "s_tmin"})
+    keys = ["i_step", "chunk"]
+    radii = nb.estimate_radii(
+        targets, sources, keys, keys + ["cell_id"], {"MinTemperature": "s_tmin"}, ip.fixed_smoothing(["MinTemperature"]))
     return radii.select("cell_id", (nb.radius_m("MinTemperature") / 1000.0).alias("radius_km"))
 
 
@@ -283,8 +285,8 @@ _DAY = day_steps(*ip.SOURCE_VALUES) | LONLAT_STEP | {
 
 
 def interpolated_days(spark, sf):
-    topo = ad.topo(spark, sf)
-    return ip.finish_cells(ip.interpolate(topo, placed(spark, sf)), topo)
+    topo = topo_table(spark, sf)
+    return ip.finish_cells(ip.interpolate(topo, placed_table(spark, sf)), topo)
 
 
 @query("interpolate_day", sql("v_placed v_topo", f"select dates, count(*) as n, {_by_date(CELL_VARIABLES)} from v_full group by dates", "dates",
@@ -339,7 +341,7 @@ _DEFAULT_GRID = {v: (DEFAULTS.smoothing[v],) for v in CALIBRATED}
   select variable, i_step, count(*) as n, count(pred) as n_pred, avg(pred) as pred, avg(abs(pred - obs)) as mae from v_loo group by variable, i_step""",
     "variable", "i_step n n_pred", "pred mae", more=loo_steps(_DEFAULT_GRID)))
 def loo_predictions(spark, sf):
-    here = placed(spark, sf)
+    here = placed_table(spark, sf)
     parts = [cb.loo_predictions(here, ["dates", "i_step"], v) for v in CALIBRATED]
     return reduce(lambda a, b: a.unionByName(b), parts).groupBy("variable", "i_step").agg(
         F.count(F.lit(1)).alias("n"), F.count("pred").alias("n_pred"), F.avg("pred").alias("pred"),
@@ -366,20 +368,34 @@ _MONTHS = _windows("select distinct date_trunc('month', dates)::date + 15 as dat
 _CAL = loo_steps(SMALL_GRID)
 
 
+def daily_errors(spark, sf):
+    """Leave-one-out error sums of every day: one table for calibration and cross-validation."""
+    return spark.read.parquet(stored(spark, sf, "errors", lambda path: tables.materialize(
+        cb.error_table(placed_table(spark, sf), ["dates", "i_step"], SMALL_GRID), path)))
+
+
+def every_day(spark, sf):
+    return ad.obs(spark, sf).select(F.col("dates").alias("date_fin"))
+
+
+def calibrated(spark, sf, wanted, window):
+    frames = cb.window_frames(placed_table(spark, sf), wanted, window)
+    rolled = cb.rolled_errors(daily_errors(spark, sf), frames, SMALL_GRID, window)
+    return frames, rolled, cb.best_params(rolled, ["date_fin", "i_step"])
+
+
 @query("calibrate", sql("v_placed", """
   select date_fin, i_step, variable, best_n as "N", best_alpha as alpha, mae from v_best""", "date_fin variable", "i_step", "N alpha mae", more=_CAL | _EVERY))
 def calibrate(spark, sf):
-    here = placed(spark, sf)
-    wanted = ad.obs(spark, sf).select(F.col("dates").alias("date_fin"))
-    return cb.calibrate(here, wanted, SMALL_GRID).select("date_fin", "i_step", "variable", "N", "alpha", "mae")
+    _, _, best = calibrated(spark, sf, every_day(spark, sf), 17)
+    return best
 
 
 @query("calibrate_month", sql("v_placed", """
   select date_fin, i_step, variable, best_n as "N", best_alpha as alpha, mae from v_best""", "date_fin variable", "i_step", "N alpha mae", more=_CAL | _MONTHS))
 def calibrate_month(spark, sf):
-    here = placed(spark, sf)
-    return cb.calibrate(here, cb.month_windows(ad.obs(spark, sf)), SMALL_GRID, 16).select(
-        "date_fin", "i_step", "variable", "N", "alpha", "mae")
+    _, _, best = calibrated(spark, sf, cb.month_windows(ad.obs(spark, sf)), 16)
+    return best
 
 
 _SHORT = {"MinTemperature": "tmin", "MaxTemperature": "tmax", "DewTemperature": "tdew", "PrecipitationEvent": "prec_event", "PrecipitationAmount": "prec_amount"}
@@ -394,10 +410,8 @@ _WIDE_NAMES = " ".join(f"{s}_{k}" for s in _SHORT.values() for k in ("n", "alpha
     "interpolator_path", "day month year i_step n_stations topo_ncells", _WIDE_NAMES,
     more=_CAL | _EVERY | {"v_wide": f"select date_fin, i_step, {_WIDE} from v_best group by date_fin, i_step"}))
 def calibration_table(spark, sf):
-    here = placed(spark, sf)
-    wanted = ad.obs(spark, sf).select(F.col("dates").alias("date_fin"))
-    best = cb.calibrate(here, wanted, SMALL_GRID)
-    counts = cb.window_station_counts(here, cb.window_frames(here, wanted, 17))
+    frames, _, best = calibrated(spark, sf, every_day(spark, sf), 17)
+    counts = cb.window_station_counts(placed_table(spark, sf), frames)
     # The two outlines are checked by wkt_text, where coordinates are rounded first.
     return cb.calibration_table(best, counts, grid.partition_boxes(ad.topo(spark, sf))).drop("buffer", "topo_bbox")
 
@@ -416,10 +430,6 @@ _R2 = """case when abs(cnt * soo - so * so) > 1e-6 and abs(cnt * spp - sp * sp)
     join v_nst s on s.date_fin = b.date_fin and s.i_step = b.i_step""",
     "dates variable stat interpolator_id", "", "value", more=_CAL | _EVERY))
 def cv_tables(spark, sf):
-    here = placed(spark, sf)
-    wanted = ad.obs(spark, sf).select(F.col("dates").alias("date_fin"))
-    daily = cb.error_table(here, ["dates", "i_step"], SMALL_GRID)
-    frames = cb.window_frames(here, wanted, 17)
-    rolled = cb.rolled_errors(daily, frames, SMALL_GRID)
-    best = cb.best_params(rolled, ["date_fin", "i_step"])
-    return va.cv_tables(daily, rolled, best, cb.window_station_counts(here, frames))
+    frames, rolled, best = calibrated(spark, sf, every_day(spark, sf), 17)
+    counts = cb.window_station_counts(placed_table(spark, sf), frames)
+    return va.cv_tables(daily_errors(spark, sf), rolled, best, counts)

@@ -46,14 +46,17 @@ def loo_predictions(
     if variable == "PrecipitationAmount":
         targets = targets.join(ip.rain_slopes(sources, group), group)
     choices = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(a).alias("alpha")) for n, a in pairs])
-    targets = targets.withColumn("_p", F.explode(choices)).withColumns(
-        {f"n_{variable}": F.col("_p.n"), f"alpha_{variable}": F.col("_p.alpha")}).drop("_p")
+    # A wet-day slope rides along only for rain.
+    names = {"n": f"n_{variable}", "alpha": f"alpha_{variable}"}
+    targets = nb.place(targets, group + ["chunk"]).withColumn("_p", F.explode(choices)).withColumns(
+        {name: F.col(f"_p.{k}") for k, name in names.items()}).drop("_p")
+    keys = group + ["chunk"]
     moments = ip.weighted_moments(
-        targets, nb.repeat_sources(sources, counts, group), group + ["chunk"], [variable], ("t_id", "s_id"), p)
+        targets, nb.repeat_sources(sources, counts, group), keys, [*keys, "t_id", *names.values()], [variable],
+        ip.column_smoothing([variable]), ("t_id", "s_id"), p)
     return moments.select(
-        *group, F.lit(variable).alias("variable"), F.col(f"n_{variable}").alias("N"),
-        F.col(f"alpha_{variable}").alias("alpha"), F.col("t_id").alias("stationID"), "obs",
-        ip.predicted(variable, p).alias("pred"),
+        *group, F.lit(variable).alias("variable"), F.col(names["n"]).alias("N"), F.col(names["alpha"]).alias("alpha"),
+        F.col("t_id").alias("stationID"), "obs", ip.predicted(variable, p).alias("pred"),
     )
 
 

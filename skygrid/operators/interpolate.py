@@ -45,17 +45,30 @@ def rain_slopes(sources: DataFrame, group: list[str]) -> DataFrame:
     return sums.select(*group, F.when(enough, F.col("zq") / F.col("zz")).otherwise(0.0).alias("rain_slope"))
 
 
-def _weight(v: str) -> Column:
-    w = nb.gaussian_weight(F.col("r2"), F.col(f"rp2_{v}"), F.col(f"alpha_{v}"))
+Smoothing = dict[str, tuple[Column, Column]]
+
+
+def fixed_smoothing(variables, p: InterpolationParams = DEFAULTS) -> Smoothing:
+    """The default station count and shape of each variable, as literals."""
+    return {v: (F.lit(p.smoothing[v][0]), F.lit(p.smoothing[v][1])) for v in variables}
+
+
+def column_smoothing(variables) -> Smoothing:
+    """Station count and shape from the targets' own columns ``n_<v>, alpha_<v>``."""
+    return {v: (F.col(f"n_{v}"), F.col(f"alpha_{v}")) for v in variables}
+
+
+def _weight(v: str, alpha: Column) -> Column:
+    w = nb.gaussian_weight(F.col("r2"), F.col(f"rp2_{v}"), alpha)
     return F.when(F.col(SOURCE_VALUES[v]).isNotNull() & (w > 0), w)
 
 
-def moment_sums(variables: list[str], p: InterpolationParams = DEFAULTS) -> list[Column]:
+def moment_sums(variables: list[str], smoothing: Smoothing, p: InterpolationParams = DEFAULTS) -> list[Column]:
     """Weighted sums of each variable; heights are relative to the target's."""
     dz = F.col("sz") - F.col("z")
     out: list[Column] = []
     for v in variables:
-        w, value = _weight(v), F.col(SOURCE_VALUES[v])
+        w, value = _weight(v, smoothing[v][1]), F.col(SOURCE_VALUES[v])
         out.append(F.sum(w).alias(f"w_{v}"))
         if v in TEMPERATURES:
             out += [
@@ -99,32 +112,28 @@ def wind_direction() -> Column:
     return F.when(F.col("w_Wind") > 0, F.pmod(F.degrees(F.atan2(u, v)) + 360.0, F.lit(360.0)))
 
 
-def with_params(targets: DataFrame, variables: list[str], p: InterpolationParams = DEFAULTS) -> DataFrame:
-    """The default station count and shape of each variable on every target."""
-    return targets.withColumns({
-        name: F.lit(value) for v in variables
-        for name, value in zip((f"n_{v}", f"alpha_{v}"), p.smoothing[v])
-    })
-
-
 def weighted_moments(
-    targets: DataFrame, sources: DataFrame, keys: list[str], variables: list[str],
+    targets: DataFrame, sources: DataFrame, keys: list[str], ids: list[str], variables: list[str], smoothing: Smoothing,
     leave_out: tuple[str, str] | None = None, p: InterpolationParams = DEFAULTS,
 ) -> DataFrame:
-    """Radius passes and one more pass for the sums. Targets carry x, y, z and their parameters."""
+    """Radius passes and one more pass for the sums. Targets carry x, y, z."""
     values = {v: SOURCE_VALUES[v] for v in variables}
-    reached = nb.estimate_radii(targets, sources, keys, values, leave_out, p)
-    reach2 = F.greatest(*[F.col(f"rp2_{v}") for v in variables]) if len(variables) > 1 else F.col(f"rp2_{variables[0]}")
-    pairs = nb.near_pairs(reached, sources, keys, reach2, leave_out)
-    return pairs.groupBy(*reached.columns).agg(*moment_sums(variables, p))
+    reached = nb.estimate_radii(targets, sources, keys, ids, values, smoothing, leave_out, p)
+    pairs = nb.near_pairs(reached, sources, keys, nb.widest(variables), leave_out)
+    return pairs.groupBy(*ids).agg(*nb.carried(targets, ids), *moment_sums(variables, smoothing, p))
 
 
 def cell_targets(topo: DataFrame, frames: DataFrame, counts: DataFrame) -> DataFrame:
-    """Grid cells under every date of their partition, chunked."""
+    """Grid cells under every date of their partition, chunked.
+
+    Dates, partitions and chunks are hashed into place first and only then grow into cells, so the
+    cell-days themselves are never shuffled.
+    """
     spread = F.pmod(F.xxhash64("cell_id"), F.col("chunks")).cast("int")
-    placed = topo.withColumnRenamed("partition", "i_step").join(counts, "i_step").withColumn("chunk", spread)
-    small = placed.select("i_step", "chunk", "cell_id", "x", "y", (F.col("elevation") / 1000.0).alias("z"))
-    return small.join(frames, "i_step")
+    cells = topo.withColumnRenamed("partition", "i_step").join(counts, "i_step").select(
+        "i_step", spread.alias("chunk"), "cell_id", "x", "y", (F.col("elevation") / 1000.0).alias("z"))
+    chunks = nb.place(nb.repeat_sources(frames, counts, ["i_step"]), ["dates", "i_step", "chunk"])
+    return chunks.join(cells, ["i_step", "chunk"])
 
 
 def interpolate(
@@ -141,59 +150,66 @@ def interpolate(
     keys = group + ["chunk"]
     counts = nb.chunk_counts(topo.withColumnRenamed("partition", "i_step"), ["i_step"])
     sources = as_sources(obs, group, p)
-    if params is None:
-        targets = with_params(cell_targets(topo, obs.select(*group).distinct(), counts), variables, p)
-    else:
-        targets = cell_targets(topo, params, counts)
+    frames = obs.select(*group).distinct() if params is None else params
+    smoothing = fixed_smoothing(variables, p) if params is None else column_smoothing(variables)
     if "PrecipitationAmount" in variables:
-        slopes = rain_slopes(sources, group)
-        targets = targets.join(slopes, group, "left").withColumn("rain_slope", F.coalesce("rain_slope", F.lit(0.0)))
-    return weighted_moments(targets, nb.repeat_sources(sources, counts, ["i_step"]), keys, variables, None, p)
+        frames = frames.join(rain_slopes(sources, group), group, "left").withColumn(
+            "rain_slope", F.coalesce("rain_slope", F.lit(0.0)))
+    targets = cell_targets(topo, frames, counts)
+    return weighted_moments(
+        targets, nb.repeat_sources(sources, counts, ["i_step"]), keys, keys + ["cell_id"], variables, smoothing, None, p)
 
 
 def terrain_light(topo: DataFrame) -> DataFrame:
-    """Cell attributes that the derived variables need; latitude is worked out once per cell."""
+    """What the derived variables need of a cell and no date changes, worked out once per cell."""
     _, lat = geo.xy_to_lonlat(F.col("x"), F.col("y"))
-    return topo.select(
-        "cell_id", F.radians(lat).alias("lat"), "elevation", "slope", "aspect", "TPI")
+    cells = topo.select(
+        "cell_id", F.radians(lat).alias("lat"), "elevation", "slope", "aspect", "TPI",
+        geo.point_wkb_hex(F.col("x"), F.col("y")).alias("geom_hex"), geo.point_wkt(F.col("x"), F.col("y")).alias("geom_text"))
+    tilted, shift = weather.equivalent_latitude(F.col("lat"), F.col("slope"), F.col("aspect"))
+    return cells.withColumns({"lat_tilted": tilted, "shift": shift, "pressure": weather.air_pressure(F.col("elevation"))})
 
 
 def finish_cells(moments: DataFrame, topo: DataFrame, p: InterpolationParams = DEFAULTS) -> DataFrame:
     """Published variables of each cell and date from the sums."""
     base = moments.select(
         "dates", "i_step", "cell_id", "x", "y",
-        predicted("MinTemperature", p).alias("tn"), predicted("MaxTemperature", p).alias("tx_"),
-        predicted("DewTemperature", p).alias("td_"), predicted("PrecipitationEvent", p).alias("event"),
+        predicted("MinTemperature", p).alias("MinTemperature"), predicted("MaxTemperature", p).alias("_max"),
+        predicted("DewTemperature", p).alias("dew"), predicted("PrecipitationEvent", p).alias("event"),
         predicted("PrecipitationAmount", p).alias("amount"),
         wind_speed().alias("WindSpeed"), wind_direction().alias("WindDirection"),
     ).join(terrain_light(topo), "cell_id")
     # Smoothing is per variable: the maximum is kept at or above the minimum.
-    base = base.withColumn("MinTemperature", F.col("tn")).withColumn("MaxTemperature", F.greatest("tn", "tx_"))
-    lo, hi = F.col("MinTemperature"), F.col("MaxTemperature")
+    base = base.withColumn("MaxTemperature", F.greatest("MinTemperature", "_max"))
     base = base.withColumns({
         "DOY": F.dayofyear("dates"),
-        "MeanTemperature": weather.mean_temperature(lo, hi),
-        "DewTemperature": F.col("td_"),
         "Precipitation": F.when(F.col("event") == 1, F.coalesce("amount", F.lit(0.0))).when(F.col("event") == 0, 0.0),
     })
-    dew, lat, doy = F.col("DewTemperature"), F.col("lat"), F.col("DOY").cast("double")
+    lo, hi, dew, doy = F.col("MinTemperature"), F.col("MaxTemperature"), F.col("dew"), F.col("DOY").cast("double")
+    base = base.withColumns({"dec": weather.declination(doy), "dist": weather.sun_distance(doy)})
+    base = base.withColumn("half_day", weather.half_day(F.col("lat"), F.col("dec")))
     base = base.withColumns({
-        "MeanRelativeHumidity": weather.relative_humidity(dew, F.col("MeanTemperature")),
-        "MinRelativeHumidity": weather.relative_humidity(dew, hi),
-        "MaxRelativeHumidity": weather.relative_humidity(dew, lo),
-        "flat": weather.flat_radiation(lat, doy, p),
-        "potential": weather.slope_radiation(lat, doy, F.col("slope"), F.col("aspect"), p),
+        "flat": weather.flat_from_angles(F.col("lat"), F.col("dec"), F.col("dist"), F.col("half_day"), p),
+        "potential": weather.slope_from_angles(
+            F.col("lat_tilted"), F.col("shift"), F.col("dec"), F.col("dist"), F.col("half_day"), p),
+        "e_dew": weather.vapour_pressure(dew), "e_min": weather.vapour_pressure(lo), "e_max": weather.vapour_pressure(hi),
+        "MeanTemperature": weather.mean_temperature(lo, hi),
     })
-    base = base.withColumn("Radiation", weather.radiation(
-        F.col("potential"), F.col("flat"), lat, doy, F.col("elevation"), lo, hi, dew, F.col("Precipitation"), p))
-    base = base.withColumn("PET", weather.pet(
-        F.col("flat"), F.col("Radiation"), F.col("elevation"), lo, hi, dew, F.col("WindSpeed"), p))
+    e_dew = F.col("e_dew")
+    base = base.withColumn("Radiation", weather.radiation_from(
+        F.col("potential"), F.col("flat"), F.col("dist"), F.col("half_day"), F.col("pressure"), hi - lo, e_dew,
+        F.col("Precipitation"), p))
+    base = base.withColumn("PET", weather.pet_from(
+        F.col("flat"), F.col("Radiation"), F.col("elevation"), F.col("pressure"), lo, hi, F.col("e_min"), F.col("e_max"),
+        e_dew, F.col("WindSpeed"), p))
     d = F.col("dates")
     return base.select(
         "dates", F.col("i_step").alias("partition"), "cell_id", "x", "y", "elevation", "slope", "aspect", "TPI", "DOY",
-        "MeanTemperature", "MinTemperature", "MaxTemperature", "MeanRelativeHumidity", "MinRelativeHumidity",
-        "MaxRelativeHumidity", "Precipitation", "Radiation", "WindSpeed", "WindDirection", "PET",
+        "MeanTemperature", "MinTemperature", "MaxTemperature",
+        weather.humidity_from(e_dew, weather.vapour_pressure(F.col("MeanTemperature"))).alias("MeanRelativeHumidity"),
+        weather.humidity_from(e_dew, F.col("e_max")).alias("MinRelativeHumidity"),
+        weather.humidity_from(e_dew, F.col("e_min")).alias("MaxRelativeHumidity"),
+        "Precipitation", "Radiation", "WindSpeed", "WindDirection", "PET",
         weather.thermal_amplitude(lo, hi).alias("ThermalAmplitude"),
-        F.dayofmonth(d).alias("day"), F.month(d).alias("month"), F.year(d).alias("year"),
-        geo.point_wkb_hex(F.col("x"), F.col("y")).alias("geom_hex"), geo.point_wkt(F.col("x"), F.col("y")).alias("geom_text"),
+        F.dayofmonth(d).alias("day"), F.month(d).alias("month"), F.year(d).alias("year"), "geom_hex", "geom_text",
     )

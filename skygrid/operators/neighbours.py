@@ -9,8 +9,6 @@ and the sums are combined inside the task before anything moves.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skygrid.params import DEFAULTS, InterpolationParams
@@ -39,6 +37,16 @@ def chunk_counts(targets: DataFrame, group: list[str], rows: int = ROWS_PER_CHUN
     return targets.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("chunks"))
 
 
+def place(keyed: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows hashed on the keys into the session's number of tasks.
+
+    Called while rows are few: what each key then grows into stays in its task, and every later join and
+    aggregate on the keys finds them in place. The number is given so that it is not cut down to suit the
+    few rows.
+    """
+    return keyed.repartition(int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def repeat_sources(sources: DataFrame, counts: DataFrame, group: list[str]) -> DataFrame:
     """The group's sources once per chunk."""
     return sources.join(counts, group).withColumn(
@@ -55,7 +63,9 @@ def near_pairs(
     targets: DataFrame, sources: DataFrame, keys: list[str], reach2: Column, leave_out: tuple[str, str] | None = None
 ) -> DataFrame:
     """Targets with the sources of their chunk in reach; targets without any are kept."""
-    t, s = targets.alias("t"), sources.alias("s")
+    # Sources grow with dates, so they are not broadcast: the merge join finds the targets in place,
+    # shuffles only the sources, and spills where a group has very many.
+    t, s = targets.alias("t"), sources.hint("merge").alias("s")
     meet = F.lit(True)
     for k in keys:
         meet = meet & (F.col(f"t.{k}") == F.col(f"s.{k}"))
@@ -66,40 +76,45 @@ def near_pairs(
         "r2", _squared_distance())
 
 
+def widest(variables) -> Column:
+    """The largest squared radius of a target's variables: how far its sources are looked for."""
+    radii = [F.col(f"rp2_{v}") for v in variables]
+    return F.greatest(*radii) if len(radii) > 1 else radii[0]
+
+
+def carried(df: DataFrame, ids: list[str]) -> list[Column]:
+    """Columns that are the same in all rows of a target, kept without being grouping keys."""
+    return [F.any_value(c).alias(c) for c in df.columns if c not in ids]
+
+
 def estimate_radii(
-    targets: DataFrame, sources: DataFrame, keys: list[str], variables: dict[str, str],
-    leave_out: tuple[str, str] | None = None, p: InterpolationParams = DEFAULTS,
+    targets: DataFrame, sources: DataFrame, keys: list[str], ids: list[str], variables: dict[str, str],
+    smoothing: dict[str, tuple[Column, Column]], leave_out: tuple[str, str] | None = None,
+    p: InterpolationParams = DEFAULTS,
 ) -> DataFrame:
     """Targets with ``rp2_<v>``, the squared radius that holds about N sources with a value.
 
-    ``variables`` maps a variable to the source column that is not NULL where the source counts.
-    Targets carry ``x, y, n_<v>, alpha_<v>``; sources ``sx, sy``. All variables share each pass. A
-    target whose disc holds no weight keeps its radius.
+    ``variables`` maps a variable to the source column that is not NULL where the source counts, and
+    ``smoothing`` to its N and alpha. Targets carry ``x, y`` and are told apart by ``ids``, which hold
+    the ``keys``; sources carry ``sx, sy``. All variables share each pass. A target whose disc holds no
+    weight keeps its radius.
     """
     out = targets.withColumns({f"rp2_{v}": F.lit(p.initial_radius_m**2) for v in variables})
-    carried = list(targets.columns)
     for step in range(p.radius_passes):
         factor = 1.0 if step == p.radius_passes - 1 else 2.0
-        reach2 = F.greatest(*[F.col(f"rp2_{v}") for v in variables]) if len(variables) > 1 else F.col(
-            f"rp2_{next(iter(variables))}")
-        pairs = near_pairs(out, sources, keys, reach2, leave_out)
-        sums = pairs.groupBy(*carried, *[f"rp2_{v}" for v in variables]).agg(*[
-            F.sum(F.when(F.col(value).isNotNull(), gaussian_weight(F.col("r2"), F.col(f"rp2_{v}"), F.col(f"alpha_{v}"))))
+        pairs = near_pairs(out, sources, keys, widest(variables), leave_out)
+        sums = pairs.groupBy(*ids).agg(*carried(out, ids), *[
+            F.sum(F.when(F.col(value).isNotNull(), gaussian_weight(F.col("r2"), F.col(f"rp2_{v}"), smoothing[v][1])))
             .alias(f"_w_{v}")
             for v, value in variables.items()
         ])
-        out = sums.select(*carried, *[
-            F.when(F.col(f"_w_{v}") > 0, factor * F.col(f"n_{v}") * mean_weight(F.col(f"alpha_{v}"))
-                   * F.col(f"rp2_{v}") / F.col(f"_w_{v}")).otherwise(F.col(f"rp2_{v}")).alias(f"rp2_{v}")
-            for v in variables
+        out = sums.select(*targets.columns, *[
+            F.when(F.col(f"_w_{v}") > 0, factor * n * mean_weight(alpha) * F.col(f"rp2_{v}") / F.col(f"_w_{v}"))
+            .otherwise(F.col(f"rp2_{v}")).alias(f"rp2_{v}")
+            for v, (n, alpha) in smoothing.items() if v in variables
         ])
     return out
 
 
 def radius_m(v: str) -> Column:
     return F.sqrt(F.col(f"rp2_{v}"))
-
-
-def stations_expected(v: str) -> Column:
-    """Sources per disc implied by the radius at one source per square kilometre."""
-    return F.col(f"rp2_{v}") / 1e6 * math.pi

@@ -132,6 +132,15 @@ def load_interpolator(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     return spark.read.parquet(f"{path}/obs"), spark.read.parquet(f"{path}/params")
 
 
+def materialize(df: DataFrame, path: str, *keys: str) -> DataFrame:
+    """The frame as a written table, so that steps that read it many times do not repeat its work.
+
+    A written table survives lost executors, and its readers prune columns and know its size.
+    """
+    df.write.mode("overwrite").partitionBy(*keys).parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def file_boxes(df: DataFrame, file_key: str, x: str = "x", y: str = "y") -> DataFrame:
     """Ranges of x and of y per file, taken apart and joined in full."""
     xs = df.filter(F.col(x).isNotNull()).groupBy(file_key).agg(F.min(x).alias("xmin"), F.max(x).alias("xmax"))
