@@ -103,9 +103,9 @@ def reproject(layers: DataFrame, weights: DataFrame) -> DataFrame:
     ).select("dates", "var", F.col("trow").alias("row"), F.col("tcol").alias("col"), "value")
 
 
-def scale_round(value: Column, scale: int = BITMAP_SCALE) -> Column:
+def scale_round(value: Column | str, scale: int = BITMAP_SCALE) -> Column:
     """Colours are worked out on whole numbers."""
-    return F.round(value * float(scale), 0)
+    return F.round((F.col(value) if isinstance(value, str) else value) * float(scale), 0)
 
 
 def layer_ranges(layers: DataFrame) -> DataFrame:

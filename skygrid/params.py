@@ -69,7 +69,7 @@ def _grid(ns, alphas):
 DAILY_GRID = {
     "MinTemperature": _grid(range(20, 161, 20), range(10, 51, 10)),
     "MaxTemperature": _grid(range(20, 161, 20), range(10, 51, 10)),
-    "DewTemperature": _grid((10, 30, 130, 150), (0.5 + 10 * k for k in range(7))),
+    "DewTemperature": _grid((10, 30, 130, 150), [0.5 + 10 * k for k in range(7)]),
     "PrecipitationEvent": _grid((10, 20, 30), range(20, 101, 20)),
     "PrecipitationAmount": _grid((10, 50, 120, 150), (1, 10, 20, 30)),
 }
