@@ -385,10 +385,12 @@ def calibrated(spark, sf, wanted, window):
 
 
 @query("calibrate", sql("v_placed", """
-  select date_fin, i_step, variable, best_n as "N", best_alpha as alpha, mae from v_best""", "date_fin variable", "i_step", "N alpha mae", more=_CAL | _EVERY))
+  select date_fin, variable, count(*) as partitions, sum(best_n) as sum_n, sum(best_alpha) as sum_alpha, avg(mae) as mae from v_best
+  group by date_fin, variable""", "date_fin variable", "partitions", "sum_n sum_alpha mae", more=_CAL | _EVERY))
 def calibrate(spark, sf):
     _, _, best = calibrated(spark, sf, every_day(spark, sf), 17)
-    return best
+    return best.groupBy("date_fin", "variable").agg(
+        F.count(F.lit(1)).alias("partitions"), F.sum("N").alias("sum_n"), F.sum("alpha").alias("sum_alpha"), F.avg("mae").alias("mae"))
 
 
 @query("calibrate_month", sql("v_placed", """
@@ -421,15 +423,17 @@ _R2 = """case when abs(cnt * soo - so * so) > 1e-6 and abs(cnt * spp - sp * sp)
 
 
 @query("cv_tables", sql("v_placed", f"""
+  select dates, variable, stat, count(distinct interpolator_id) as partitions, count(value) as n_values, avg(value) as value from (
   select b.date_fin as dates, b.variable, l.stat, l.value, cast(b.i_step as varchar) as interpolator_id
   from v_best b join v_daily d on d.dates = b.date_fin and d.i_step = b.i_step and d.variable = b.variable and d.nn = b.best_n and d.aa = b.best_alpha
   cross join lateral (values ('bias', d.se / d.cnt), ('mae', d.sa / d.cnt), ('relative_bias', case when abs(d.so) > 1e-6 then d.se / d.so end), ('n', d.cnt)) l(stat, value)
   union all select b.date_fin, b.variable, 'r2', {_R2}, cast(b.i_step as varchar) from v_best b join v_roll r
     on r.date_fin = b.date_fin and r.i_step = b.i_step and r.variable = b.variable and r.nn = b.best_n and r.aa = b.best_alpha
   union all select b.date_fin, b.variable, 'n_stations', n_stations, cast(b.i_step as varchar) from v_best b
-    join v_nst s on s.date_fin = b.date_fin and s.i_step = b.i_step""",
-    "dates variable stat interpolator_id", "", "value", more=_CAL | _EVERY))
+    join v_nst s on s.date_fin = b.date_fin and s.i_step = b.i_step) group by dates, variable, stat""",
+    "dates variable stat", "partitions n_values", "value", more=_CAL | _EVERY))
 def cv_tables(spark, sf):
     frames, rolled, best = calibrated(spark, sf, every_day(spark, sf), 17)
     counts = cb.window_station_counts(placed_table(spark, sf), frames)
-    return va.cv_tables(daily_errors(spark, sf), rolled, best, counts)
+    return va.cv_tables(daily_errors(spark, sf), rolled, best, counts).groupBy("dates", "variable", "stat").agg(
+        F.count_distinct("interpolator_id").alias("partitions"), F.count("value").alias("n_values"), F.avg("value").alias("value"))
