@@ -80,7 +80,7 @@ def moments_step(prev: str, source: str, join: str, keys: str, ids: str, variabl
                     "case when w_Wind > 0 then fmod(degrees(atan2(wu, wv)) + 360e0, 360e0) end as WindDirection"]
         else:
             sums += [f"sum({pos}) as w_{v}", f"sum({pos} * {val}) as wt_{v}"]
-            out.append(f"case when w_{v} > 0 then case when wt_{v} / w_{v} >= 5e-1 then 1e0 else 0e0 end end as {v}")
+            out.append(f"case when w_{v} > 0 then case when wt_{v} / w_{v} >= 5e-1 - 1e-9 then 1e0 else 0e0 end end as {v}")
     return f"""select {ids.replace(' ', ', ')}, {', '.join(out)} from (select {ids.replace(' ', ', ')}, {', '.join(sums)} from (
         select t.*, s.* exclude ({keys.replace(' ', ', ')}), sqrt(power(t.x - s.sx, 2) + power(t.y - s.sy, 2)) as r
         from {prev} t left join {source} s on {join}) group by all)"""
