@@ -3,7 +3,7 @@
 Documents are split by their leading bytes, groups of two or more by the bytes that follow, and so on until
 a group has one member or its texts have ended: members of a group that has ended are equal byte for byte,
 and no digest decides it. A round reads a stride of successive bytes, eight times as many as the one before,
-so a text of n bytes takes about log8(n / 32) rounds and every byte is moved at most once, by those texts
+so a text of n bytes takes about log8(n / 256) rounds and every byte is moved at most once, by those texts
 only that still share everything before it. A group of copies is never gathered: its rows are counted with
 partial sums, and the join with the counts is one that Spark can split.
 
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from skygrid.llm.common import BLANKS, is_empty, whole_text, written
 
-FIRST_STRIDE = 32
+FIRST_STRIDE = 256
 WIDER = 8
 
 
@@ -47,7 +47,8 @@ def groups(docs: DataFrame, carry: bool = False, first_stride: int = FIRST_STRID
             F.count(F.lit(1)).alias("group_size"),
             F.min(F.struct(F.isnull("doc_id").alias("n"), F.col("doc_id").alias("d"), F.col("_rid").alias("r"))).alias("_first")).where("group_size > 1")
         heads = written(heads, "radix-groups")
-        split = step.join(heads, keys).select(
+        # Merged at every size: the table of groups grows with the corpus, and skewed keys of this join can be split.
+        split = step.join(heads.hint("merge"), keys).select(
             "_rid", "doc_id", "_over", F.col("_first.r").alias("_group"), F.col("_first.d").alias("keep_id"), "group_size",
             F.when(~F.col("_over"), F.expr(f"substring(_rest, {stride + 1})")).alias("_rest"))
         split = written(split, "radix-split")

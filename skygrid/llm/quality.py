@@ -6,7 +6,8 @@ neighbours (two on either side) over every occurrence in the whole corpus: whole
 entry. A few more entries stand for shapes (capitals, digits, signs). The vector of an entry is its index
 vector and its context, scaled to one length each.
 
-*Document.* The mean of the vectors of its tokens and shapes, and the logarithm of their number.
+*Document.* The mean of the vectors of its tokens and shapes, how often a token repeats the one
+before it, and the logarithm of their number.
 
 *Network.* One hidden layer, trained with numpy on the pooled documents of at most ``max_rows`` labelled rows outside the
 held-out fold (bounded and documented; the rows with the smallest hash of doc_id). A tenth of them is set aside to fit
@@ -137,8 +138,8 @@ def entry_vectors(context: np.ndarray) -> np.ndarray:
 
 def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """A row of features per text."""
-    out = np.zeros((len(texts), 2 * vectors.shape[1] + 1), np.float32)
     d = vectors.shape[1]
+    out = np.zeros((len(texts), 2 * d + 2), np.float32)
     shape_vectors = vectors[1 << BITS:]
     for first, t, s, off in tokens(texts):
         count = np.diff(off)
@@ -150,7 +151,9 @@ def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
         row = np.repeat(np.arange(len(count)), count)
         shapes = np.bincount(row * SHAPES + s - (1 << BITS), minlength=len(count) * SHAPES).reshape(-1, SHAPES)
         out[first + some, d:2 * d] = (shapes[some] @ shape_vectors) * each
-        out[first + some, 2 * d] = np.log1p(count[some])
+        repeats = np.flatnonzero((t[1:] == t[:-1]) & (row[1:] == row[:-1]))
+        out[first + some, 2 * d] = np.bincount(row[repeats], minlength=len(count))[some] / count[some]
+        out[first + some, 2 * d + 1] = np.log1p(count[some])
     return out
 
 
@@ -229,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[n
         docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_label_id"))
         .select("doc_id", "text", "_quality").mapInArrow(run, "id long, y int, x binary").toPandas())
     if not len(rows):
-        return vectors, train(np.zeros((0, 2 * vectors.shape[1] + 1)), np.zeros(0))
+        return vectors, train(np.zeros((0, 2 * vectors.shape[1] + 2)), np.zeros(0))
     rows = rows.sort_values(["id", "y", "x"], kind="stable")
     x = np.stack([np.frombuffer(b, "<f4") for b in rows["x"]]).astype(float)
     return vectors, train(x, rows["y"].to_numpy(float))
