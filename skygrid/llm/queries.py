@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skygrid.llm import bpe, exact, jaccard, mixing, quality
+from skygrid.llm import bpe, exact, jaccard, licences, mixing, pii, pq, quality
 from skygrid.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf, "documents"))
 
 
+def op3_licence_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licences.scan(table(spark, sf, "documents"))
+
+
 def vocabulary() -> tuple[list[bytes], str]:
     import public_tokenizers
 
@@ -29,10 +33,19 @@ def op4_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return pq.near_duplicates(table(spark, sf, "embeddings"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op9_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.find(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact.groups(table(spark, sf, "documents"))
 
@@ -40,8 +53,11 @@ def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_licence_scan": op3_licence_scan,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_personal_data": op9_personal_data,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
@@ -61,6 +77,31 @@ select d.doc_id, coalesce(n.n, 0) as n_shingles, m.component_id
 from documents d left join n on n.doc_id = d.doc_id join (select a, min(b) as component_id from r group by a) m on m.a = d.doc_id
 """
 
+def _licences() -> str:
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def canonical(column: str) -> str:
+        c = rf"regexp_replace(translate({column}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9\n]+', ' ', 'g')"
+        c = f"regexp_replace(' ' || replace({c}, chr(10), ' ' || chr(10) || ' ') || ' ', ' +', ' ', 'g')"
+        for other, one in licences.SPELLINGS:
+            c = f"replace({c}, ' {other} ', ' {one} ')"
+        return f"regexp_replace({c}, '{licences.COPYRIGHT}', '', 'g')"
+
+    whole = r"trim(regexp_replace(c, '[ \n]+', ' ', 'g'))"
+    known = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in licences.KNOWN)
+    return f"""
+with known as (select min(i) as i, {whole} as k from (select i, {canonical('t')} as c from (values {known}) as v(i, t)) group by {whole}),
+d as (select doc_id, {canonical("coalesce(text, '')")} as c from documents),
+w as (select d.doc_id, min(i) as whole from d join known on k = {whole} group by d.doc_id),
+l as (select doc_id, unnest(string_split(c, chr(10))) as x from d),
+n as (select doc_id, string_agg(i, ',' order by i) as notices, count(*) as n_notices from
+  (select distinct doc_id, i from l join known on k = trim(x)) group by doc_id)
+select d.doc_id, w.whole, coalesce(notices, '') as notices, coalesce(n_notices, 0) as n_notices
+from d left join w on w.doc_id = d.doc_id left join n on n.doc_id = d.doc_id
+"""
+
+
 _EXACT = r"""
 with d as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as s from documents)
 select doc_id, min(doc_id) over (partition by s) as keep_id, count(*) over (partition by s) as group_size,
@@ -69,5 +110,6 @@ select doc_id, min(doc_id) over (partition by s) as keep_id, count(*) over (part
 
 SQL = {
     "op2_jaccard_join": _JACCARD,
+    "op3_licence_scan": _licences(),
     "op10_exact_dedup": _EXACT,
 }
