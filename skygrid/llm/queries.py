@@ -65,10 +65,10 @@ QUERIES = {
 _JACCARD = r"""
 with recursive t as (
   select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), x -> x <> '') as w from documents),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
 g as (
   select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
-    else list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) end) as s from t),
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s from t),
 n as (select doc_id, count(*) as n from g group by doc_id),
 c as (select a.doc_id as a, b.doc_id as b, count(*) as c from g a join g b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
 l as (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
