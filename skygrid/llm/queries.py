@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skygrid.llm import bpe, exact, jaccard, licences, mixing, pii, pq, quality
+from skygrid.llm import bpe, exact, jaccard, licences, mixing, pii, pq, quality, suffix
 from skygrid.llm.common import table
 
 
@@ -37,6 +37,12 @@ def op5_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return pq.near_duplicates(table(spark, sf, "embeddings"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    done = suffix.remove_repeats(table(spark, sf, "documents"))
+    kept = F.coalesce("kept", F.col("text").cast("binary"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(kept, 256).alias("kept_sha256"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -56,6 +62,7 @@ QUERIES = {
     "op3_licence_scan": op3_licence_scan,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_personal_data": op9_personal_data,
     "op10_exact_dedup": op10_exact_dedup,
