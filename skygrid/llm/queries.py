@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skygrid.llm import bpe, exact, jaccard, licences, mixing, pii, pq, quality, suffix
+from skygrid.llm import bpe, exact, jaccard, licences, lm, mixing, pii, pq, quality, suffix
 from skygrid.llm.common import table
 
 
@@ -37,6 +37,10 @@ def op5_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return pq.near_duplicates(table(spark, sf, "embeddings"))
 
 
+def op6_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score(table(spark, sf, "documents")).withColumn("log_score", F.round("log_score", 4))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     done = suffix.remove_repeats(table(spark, sf, "documents"))
     kept = F.coalesce("kept", F.col("text").cast("binary"))
@@ -62,6 +66,7 @@ QUERIES = {
     "op3_licence_scan": op3_licence_scan,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
+    "op6_lm_score": op6_lm_score,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_personal_data": op9_personal_data,
@@ -84,6 +89,32 @@ select d.doc_id, coalesce(n.n, 0) as n_shingles, m.component_id
 from documents d left join n on n.doc_id = d.doc_id join (select a, min(b) as component_id from r group by a) m on m.a = d.doc_id
 """
 
+_LM = r"""
+with t as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
+p as (select doc_id, len(ws) as n, unnest(range(1, len(ws) + 1)) as i, ws from t),
+w as (select doc_id, n, i, ws[i] as w, case when i > 1 then ws[i - 1] end as v from p),
+cp as (select v, w, count(*) as c from w where v is not null group by all),
+mp as (select doc_id, v, w, count(*) as m from w where v is not null group by all),
+cv as (select v, count(*) as c from w where v is not null group by all),
+mv as (select doc_id, v, count(*) as m from w where v is not null group by all),
+cw as (select w, count(*) as c from w group by all),
+mw as (select doc_id, w, count(*) as m from w group by all),
+n as (select count(*) as total from w),
+s as (
+  select w.doc_id, w.v is not null and coalesce(cp.c - mp.m, 0) = 0 as backed,
+    case when coalesce(cp.c - mp.m, 0) > 0 then ln(cast(cp.c - mp.m as double)) - ln(cast(cv.c - mv.m as double))
+      else ln(greatest(cw.c - mw.m, 5e-1)) - ln(cast(greatest(total - w.n, 1) as double)) + case when w.v is null then 0e0 else ln(4e-1) end end as x
+  from w cross join n join cw on cw.w = w.w join mw on mw.w = w.w and mw.doc_id = w.doc_id
+  left join cp on cp.v = w.v and cp.w = w.w left join mp on mp.v = w.v and mp.w = w.w and mp.doc_id = w.doc_id
+  left join cv on cv.v = w.v left join mv on mv.v = w.v and mv.doc_id = w.doc_id)
+select t.doc_id, cast(len(t.ws) as bigint) as n_words, cast(coalesce(sum(case when backed then 1 else 0 end), 0) as bigint) as n_backed_off,
+  round(coalesce(sum(x), 0e0), 4) as log_score
+from t left join s on s.doc_id = t.doc_id group by t.doc_id, t.ws
+"""
+
+
 def _licences() -> str:
     def quoted(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"
@@ -118,5 +149,6 @@ select doc_id, min(doc_id) over (partition by s) as keep_id, count(*) over (part
 SQL = {
     "op2_jaccard_join": _JACCARD,
     "op3_licence_scan": _licences(),
+    "op6_lm_score": _LM,
     "op10_exact_dedup": _EXACT,
 }
