@@ -42,9 +42,8 @@ def op6_lm_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    done = suffix.remove_repeats(table(spark, sf, "documents"))
-    kept = F.coalesce("kept", F.col("text").cast("binary"))
-    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(kept, 256).alias("kept_sha256"))
+    done = suffix.remove_repeats(table(spark, sf, "documents"), lambda rest: F.sha2(rest, 256))
+    return done.withColumnRenamed("rest", "kept_sha256")
 
 
 def op8_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:

@@ -25,14 +25,15 @@ gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from skygrid.llm import words as wd
 from skygrid.llm.common import whole_text, written
+from skygrid.llm.filters import filter_bits, may_hold
 
 LENGTH = 400
 ANCHOR = 150
@@ -220,25 +221,27 @@ def repeated_windows(classes: list[list[tuple[bytes, bytes, int]]]) -> list[list
 
 
 def _masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, left, right, n) sorted by key to rows (key, left, right, mask); a class is bounded, some share an array."""
+    """Rows (key, piece, left, right, n) sorted by key to rows (key, piece, mask); a class is bounded, some share an array."""
     held: list[tuple[int, list[tuple[bytes, bytes, int]]]] = []
+    names: list[list[int]] = []
     size = 0
 
     def solved() -> pa.RecordBatch:
         masks = repeated_windows([c for _, c in held])
-        rows = [(k, left, right, m) for (k, c), ms in zip(held, masks) for (left, right, _), m in zip(c, ms) if m]
-        cols = list(zip(*rows)) if rows else [[], [], [], []]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.int64())], ["key", "left", "right", "mask"])
+        rows = [(k, i, m) for (k, c), ids, ms in zip(held, names, masks) for i, m in zip(ids, ms) if m]
+        cols = list(zip(*rows)) if rows else [[], [], []]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["key", "piece", "mask"])
 
     for batch in batches:
-        for k, left, right, n in zip(*(c.to_pylist() for c in batch.columns)):
+        for k, piece, left, right, n in zip(*(c.to_pylist() for c in batch.columns)):
             if not held or held[-1][0] != k:
                 if size > JOINED:
                     yield solved()
-                    held, size = [], 0
+                    held, names, size = [], [], 0
                 held.append((k, []))
+                names.append([])
             held[-1][1].append((left, right, n))
+            names[-1].append(piece)
             size += len(left) + len(right) + 2
     if held:
         yield solved()
@@ -264,31 +267,47 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column(0), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], ["rid", "n_removed", "n_spans", "kept"])
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, text, n_bytes, n_removed, n_spans, kept (binary, null where nothing is removed) for every row (doc_id, text)."""
+def remove_repeats(docs: DataFrame, outcome: Callable[[Column], Column] = lambda rest: rest) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and ``rest`` for every row (doc_id, text).
+
+    ``rest`` is what ``outcome`` makes of the remaining bytes (binary): the bytes themselves, or a digest of them when
+    the texts need not be moved.
+    """
+    whole = F.col("text").cast("binary")
     docs = docs.select("doc_id", whole_text().alias("text"), F.xxhash64("doc_id", "text").alias("rid"))
     runs = written(docs.select("rid", "text").mapInArrow(_runs, "rid long, anchor long, place long, first long, n long"), "suffix-anchors")
     twice = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("anchor")
-    wanted = runs.join(twice, "anchor").groupBy("rid").agg(F.collect_set(F.struct("place", "first", "n")).alias("runs"))
-    texts = written(docs.select("rid", "text").join(wanted, "rid"), "suffix-texts")
+    wanted = written(
+        runs.join(twice, "anchor").groupBy("rid").agg(F.collect_set(F.struct("place", "first", "n")).alias("runs")), "suffix-wanted")
+    shared = docs.sparkSession.sparkContext.broadcast(filter_bits(wanted, "rid"))
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch if shared.value is None else batch.filter(pa.array(may_hold(shared.value, batch.column(0).to_numpy())))
+
+    texts = written(docs.select("rid", "text").mapInArrow(asked, "rid long, text string").join(wanted, "rid"), "suffix-texts")
 
     occurring = texts.select("rid", "text", "runs").mapInArrow(_pieces, "key long, left binary, right binary, rid long, core long")
-    name = ["key", "left", "right"]
-    pieces = written(occurring.groupBy(*name).agg(F.count(F.lit(1)).alias("n")), "suffix-pieces")
+    # A piece goes by the hash of its bytes beside the core; the bytes are moved once, for the arrays.
+    named = occurring.select("key", F.xxhash64("left", F.lit(0), "right").alias("piece"), "left", "right", "rid", "core")
+    pieces = written(named.groupBy("key", "piece", "left", "right").agg(F.count(F.lit(1)).alias("n")), "suffix-pieces")
     crowd = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > CLASS).select("key")
     crowd = written(crowd, "suffix-crowd")
-    few = pieces.join(crowd, "key", "left_anti").repartition("key").sortWithinPartitions("key").select(*name, "n")
-    masks = few.mapInArrow(_masks, "key long, left binary, right binary, mask long")
+    few = pieces.join(crowd, "key", "left_anti").repartition("key").sortWithinPartitions("key").select("key", "piece", "left", "right", "n")
+    masks = few.mapInArrow(_masks, "key long, piece long, mask long")
     window = F.explode(F.sequence(STARTS - 1 - F.length("right"), F.length("left"))).alias("x")
-    each = pieces.join(crowd, "key").select(*name, "n", window).select(
-        "*", F.expr("substring(left, length(left) - x + 1, x)").alias("l"), F.expr(f"substring(right, 1, {STARTS - 1} - x)").alias("r"))
+    each = pieces.join(crowd, "key").select("key", "piece", "left", "right", "n", window).select(
+        "key", "piece", "n", "x", F.expr("substring(left, length(left) - x + 1, x)").alias("l"), F.expr(f"substring(right, 1, {STARTS - 1} - x)").alias("r"))
     more = each.groupBy("key", "x", "l", "r").agg(F.sum("n").alias("k")).where("k > 1").select("key", "x", "l", "r")
-    crowded = each.join(more, ["key", "x", "l", "r"]).groupBy(*name).agg(F.bit_or(F.expr("shiftleft(1L, x)")).alias("mask"))
+    crowded = each.join(more, ["key", "x", "l", "r"]).groupBy("key", "piece").agg(F.bit_or(F.expr("shiftleft(1L, x)")).alias("mask"))
     found = written(masks.unionByName(crowded), "suffix-masks")
 
-    hits = occurring.join(found, name).groupBy("rid").agg(F.collect_set(F.struct("core", "mask")).alias("found"))
-    cut = texts.select("rid", "text").distinct().join(hits, "rid").select("rid", "text", "found").mapInArrow(
+    hits = named.select("key", "piece", "rid", "core").join(found, ["key", "piece"]).groupBy("rid").agg(F.collect_set(F.struct("core", "mask")).alias("found"))
+    cut = texts.select("rid", "text").join(hits, "rid").select("rid", "text", "found").mapInArrow(
         _cut, "rid long, n_removed long, n_spans long, kept binary")
-    return docs.join(cut, "rid", "left").select(
-        "doc_id", "text", F.octet_length("text").cast("long").alias("n_bytes"), F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"), "kept")
+    # Rows that are the same have one number and one result.
+    cut = cut.select("rid", "n_removed", "n_spans", outcome(F.col("kept")).alias("_kept")).dropDuplicates(["rid"])
+    same = docs.select("doc_id", "rid", F.octet_length("text").cast("long").alias("n_bytes"), outcome(whole).alias("_whole"))
+    return same.join(cut, "rid", "left").select(
+        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("_kept", "_whole").alias("rest"))
