@@ -105,7 +105,10 @@ def admin_rollup(spark, sf):
 @query("station_count", sql("v_placed", """
   select dates, i_step, count(distinct stationid) as n_stations from v_placed group by dates, i_step""", "dates", "i_step n_stations"))
 def station_count(spark, sf):
-    return placed(spark, sf).groupBy("dates", "i_step").agg(F.count_distinct("stationID").alias("n_stations"))
+    # A station has one row per date, so rows are stations; where it stands is worked out once per station, not per day.
+    stations = ad.obs(spark, sf).select("stationID", "x", "y").distinct()
+    member = st.stations_in_partitions(stations, grid.partition_boxes(ad.topo(spark, sf))).select("stationID", "i_step")
+    return ad.obs(spark, sf).select("stationID", "dates").join(member, "stationID").groupBy("dates", "i_step").agg(F.count(F.lit(1)).alias("n_stations"))
 
 
 @query("window_station_count", sql("v_obs v_member", """
@@ -140,7 +143,7 @@ def calibration_summary(spark, sf):
 _PRED = """select dates, i_step, stationid, maxtemperature as obs, mintemperature + 9e0 + i_step % 5 as pred from v_placed"""
 _CV = """bias, mae, relative_bias, n, case when vo > 1e-9 and vp > 1e-9 then r * r end as r2 from (
   select i_step, avg(pred - obs) as bias, avg(abs(pred - obs)) as mae,
-    case when abs(sum(obs)) > 1e-6 then sum(pred - obs) / sum(obs) end as relative_bias, count(*) as n,
+    case when abs(sum(obs)) > 1e-12 * sum(abs(obs)) then sum(pred - obs) / sum(obs) end as relative_bias, count(*) as n,
     corr(pred, obs) as r, var_pop(obs) as vo, var_pop(pred) as vp from v_pred group by i_step)"""
 
 
@@ -248,11 +251,7 @@ _HIST = " union all ".join(
 @query("histogram_1d", sql("v_calib", "select name, bin, n, n / cast(max(n) over (partition by name) as double) as ncount from v_hist",
     "name", "bin n", "ncount", more={"v_hist": _HIST}))
 def histogram_1d(spark, sf):
-    from functools import reduce
-    table = ad.calibrations(spark, sf)
-    return reduce(lambda a, b: a.unionByName(b), [
-        cb.histogram(table, f"{s}_{k}", w).withColumn("name", F.lit(f"{s}_{k}"))
-        for s in SHORT_NAMES.values() for k, w in _WIDTHS.items()])
+    return cb.histograms(ad.calibrations(spark, sf), {f"{s}_{k}": w for s in SHORT_NAMES.values() for k, w in _WIDTHS.items()})
 
 
 _HIST2 = " union all ".join(
@@ -262,11 +261,8 @@ _HIST2 = " union all ".join(
 
 @query("histogram_2d", sql("v_calib", "select * from v_hist", "name", "bx by_ year month n", more={"v_hist": _HIST2}))
 def histogram_2d(spark, sf):
-    from functools import reduce
-    table = ad.calibrations(spark, sf)
-    return reduce(lambda a, b: a.unionByName(b), [
-        cb.histogram_2d(table, f"{s}_n", f"{s}_alpha", 20.0, 10.0, ["year", "month"]).withColumn("name", F.lit(s))
-        for s in SHORT_NAMES.values()]).withColumnRenamed("by", "by_")
+    pairs = {s: (f"{s}_n", f"{s}_alpha") for s in SHORT_NAMES.values()}
+    return cb.histograms_2d(ad.calibrations(spark, sf), pairs, 20.0, 10.0, ["year", "month"]).withColumnRenamed("by", "by_")
 
 
 # Points that fall on a partition border are listed under both partitions.
@@ -309,17 +305,16 @@ _LONGCAL = " union all ".join(
 
 @query("argmin_params", sql("v_calib", """
   select i_step, variable, n_ as "N", alpha, mae from (
-    select i_step, variable, N as n_, alpha, round(sum_abs / cnt, 6) as mae,
+    select i_step, variable, N as n_, alpha, sum_abs / cnt as mae,
       row_number() over (partition by i_step, variable order by round(sum_abs / cnt, 6), N, alpha) as k
     from (select i_step, variable, "Nx" as N, alpha, cnt, sum_abs from v_longcal)) where k = 1""",
     "variable", "i_step", "N alpha mae", more={"v_longcal": _LONGCAL.replace("_n as N", '_n as "Nx"')}))
 def argmin_params(spark, sf):
-    from functools import reduce
-    table = ad.calibrations(spark, sf)
-    errors = reduce(lambda a, b: a.unionByName(b), [
-        table.groupBy("i_step", F.lit(v).alias("variable"), F.col(f"{s}_n").alias("N"), F.col(f"{s}_alpha").alias("alpha")).agg(
-            F.count(F.lit(1)).alias("n_rows"), F.sum(f"{s}_mae").alias("sum_abs"))
-        for v, s in SHORT_NAMES.items()])
+    rows = F.inline(F.array(*[
+        F.struct(F.lit(v).alias("variable"), F.col(f"{s}_n").alias("N"), F.col(f"{s}_alpha").alias("alpha"), F.col(f"{s}_mae").alias("mae"))
+        for v, s in SHORT_NAMES.items()]))
+    errors = ad.calibrations(spark, sf).select("i_step", rows).groupBy("i_step", "variable", "N", "alpha").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("mae").alias("sum_abs"))
     return cb.best_params(errors, ["i_step"], count="n_rows")
 
 

@@ -101,7 +101,8 @@ def box_wkt(xmin: Column, ymin: Column, xmax: Column, ymax: Column, decimals: in
 
 
 def _double_hex(v: Column) -> Column:
-    """The 16 hex digits, lowest byte first, of a finite normal double."""
+    """The 16 hex digits, lowest byte first, of a finite normal double; NULL of what is not finite."""
+    v = F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
     size = F.abs(v)
     guess = F.floor(F.log2(size)).cast("int")
     # log2 may round across a power of two; put the exponent right on either side.

@@ -7,12 +7,10 @@ range sums, instead of once per day for every window that holds it.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skygrid.functions import calendar as cal, geo
-from skygrid.operators import interpolate as ip, neighbours as nb
+from skygrid.operators import interpolate as ip, loo, neighbours as nb
 from skygrid.params import CALIBRATED, DEFAULTS, SHORT_NAMES, STATION_BUFFER_M, WINDOW_DAYS, InterpolationParams
 
 STATIONS_PER_CHUNK = 256
@@ -27,49 +25,56 @@ def error_sums() -> dict[str, Column]:
     }
 
 
+def _station_sets(frames: DataFrame, group: list[str], p: InterpolationParams) -> DataFrame:
+    """Stations of every set, sorted by set in the task that holds it; a large set once per chunk of its targets."""
+    sources = ip.as_sources(frames, group, p)
+    counts = nb.chunk_counts(sources, group, STATIONS_PER_CHUNK)
+    spread = F.pmod(F.xxhash64("s_id"), F.col("chunks"))
+    chunked = sources.join(counts, group).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    values = list(dict.fromkeys(ip.SOURCE_VALUES[v] for v in CALIBRATED))
+    rows = chunked.select(
+        *group, F.concat_ws(" ", *group, "chunk").alias("_set"), F.col("s_id").cast("string").alias("s_id"), (spread == F.col("chunk")).alias("is_target"),
+        *[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in ("sx", "sy", "sz", *values)])
+    return nb.place(rows, ["_set"]).sortWithinPartitions("_set")
+
+
+def _numbers(p: InterpolationParams) -> dict:
+    return {
+        "radius": p.initial_radius_m, "passes": p.radius_passes, "least": p.regression_min_stations,
+        "variance": p.regression_min_variance_km2, "max_f": p.amount_max_f, "cut": p.event_cut, "even": ip.EVEN}
+
+
+def _fields(frames: DataFrame, group: list[str]) -> str:
+    return ", ".join(f"`{g}` {frames.schema[g].dataType.simpleString()}" for g in group) + ", variable string, N double, alpha double"
+
+
+def predictions_table(frames: DataFrame, group: list[str], grid: Grid, p: InterpolationParams = DEFAULTS) -> DataFrame:
+    """Prediction of each station-day from all other stations of its group, for each variable and (N, alpha).
+
+    ``frames`` holds station-days with the ``group`` columns, which name the station set.
+    """
+    values, numbers = {v: ip.SOURCE_VALUES[v] for v in grid}, _numbers(p)
+    return _station_sets(frames, group, p).mapInArrow(
+        lambda batches: loo.predicted_rows(batches, group, values, grid, numbers), _fields(frames, group) + ", stationID string, obs double, pred double")
+
+
 def loo_predictions(
     frames: DataFrame, group: list[str], variable: str, pairs: tuple[tuple[float, float], ...] | None = None,
     p: InterpolationParams = DEFAULTS,
 ) -> DataFrame:
-    """Prediction of each station-day from all other stations of its group, for each (N, alpha).
-
-    ``frames`` holds station-days with the ``group`` columns, which name the station set.
-    """
-    pairs = pairs or (p.smoothing[variable],)
-    sources = ip.as_sources(frames, group, p).filter(F.col(ip.SOURCE_VALUES[variable]).isNotNull())
-    counts = nb.chunk_counts(sources, group, STATIONS_PER_CHUNK)
-    spread = F.pmod(F.xxhash64("s_id"), F.col("chunks")).cast("int")
-    targets = sources.join(counts, group).select(
-        *group, spread.alias("chunk"), F.col("s_id").alias("t_id"), F.col("sx").alias("x"), F.col("sy").alias("y"),
-        F.col("sz").alias("z"), F.col(ip.SOURCE_VALUES[variable]).alias("obs"),
-    )
-    if variable == "PrecipitationAmount":
-        targets = targets.join(ip.rain_slopes(sources, group), group)
-    choices = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(a).alias("alpha")) for n, a in pairs])
-    # A wet-day slope rides along only for rain.
-    names = {"n": f"n_{variable}", "alpha": f"alpha_{variable}"}
-    targets = nb.place(targets, group + ["chunk"]).withColumn("_p", F.explode(choices)).withColumns(
-        {name: F.col(f"_p.{k}") for k, name in names.items()}).drop("_p")
-    keys = group + ["chunk"]
-    moments = ip.weighted_moments(
-        targets, nb.repeat_sources(sources, counts, group), keys, [*keys, "t_id", *names.values()], [variable],
-        ip.column_smoothing([variable]), ("t_id", "s_id"), p)
-    return moments.select(
-        *group, F.lit(variable).alias("variable"), F.col(names["n"]).alias("N"), F.col(names["alpha"]).alias("alpha"),
-        F.col("t_id").alias("stationID"), "obs", ip.predicted(variable, p).alias("pred"),
-    )
+    """The same for one variable, by default with its standard choice."""
+    return predictions_table(frames, group, {variable: pairs or (p.smoothing[variable],)}, p)
 
 
 def error_table(
     frames: DataFrame, group: list[str], grid: Grid, p: InterpolationParams = DEFAULTS
 ) -> DataFrame:
     """Error sums per group, variable and (N, alpha); stations no other station reaches are left out."""
-    parts = []
-    for variable, pairs in grid.items():
-        errors = loo_predictions(frames, group, variable, pairs, p).filter(F.col("pred").isNotNull())
-        parts.append(errors.groupBy(*group, "variable", "N", "alpha").agg(
-            *[F.sum(e).alias(name) for name, e in error_sums().items()]))
-    return reduce(DataFrame.unionByName, parts)
+    values, numbers, names = {v: ip.SOURCE_VALUES[v] for v in grid}, _numbers(p), list(error_sums())
+    parts = _station_sets(frames, group, p).mapInArrow(
+        lambda batches: loo.summed_rows(batches, group, values, grid, numbers, names),
+        _fields(frames, group) + "".join(f", {n} double" for n in names))
+    return parts.groupBy(*group, "variable", "N", "alpha").agg(*[F.sum(n).alias(n) for n in names])
 
 
 def window_frames(days: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
@@ -104,9 +109,9 @@ def rolled_errors(daily: DataFrame, frames: DataFrame, grid: Grid, window: int =
 
 def best_params(errors: DataFrame, keys: list[str], count: str = "n_obs") -> DataFrame:
     """(N, alpha) of least mean absolute error; errors equal to six decimals go to the lower N, then alpha."""
-    mae = F.round(F.col("sum_abs") / F.col(count), 6)
+    mae = F.col("sum_abs") / F.col(count)
     best = errors.groupBy(*keys, "variable").agg(
-        F.min(F.struct(mae.alias("mae"), F.col("N"), F.col("alpha"))).alias("b"))
+        F.min(F.struct(F.round(mae, 6).alias("even"), F.col("N"), F.col("alpha"), mae.alias("mae"))).alias("b"))
     return best.select(*keys, "variable", F.col("b.N").alias("N"), F.col("b.alpha").alias("alpha"), F.col("b.mae").alias("mae"))
 
 
@@ -203,15 +208,18 @@ def summary(calibrations: DataFrame) -> DataFrame:
     return calibrations.groupBy("i_step").agg(*aggs)
 
 
-def histogram(df: DataFrame, column: str, width: float) -> DataFrame:
-    """Counts in bins of fixed width, and counts relative to the fullest bin."""
-    bins = df.groupBy(F.floor(F.col(column) / width).cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    # One row per bin: the window over all bins is small.
-    return bins.withColumn("ncount", F.col("n") / F.max("n").over(Window.partitionBy()))
+def histograms(df: DataFrame, widths: dict[str, float]) -> DataFrame:
+    """Per column name, counts in bins of its width, and counts relative to its fullest bin; one scan for all."""
+    bins = F.inline(F.array(*[
+        F.struct(F.lit(c).alias("name"), F.floor(F.col(c) / w).cast("bigint").alias("bin")) for c, w in widths.items()]))
+    counts = df.select(bins).groupBy("name", "bin").agg(F.count(F.lit(1)).alias("n"))
+    # One row per bin is left: a name's window is small.
+    return counts.withColumn("ncount", F.col("n") / F.max("n").over(Window.partitionBy("name")))
 
 
-def histogram_2d(df: DataFrame, x: str, y: str, wx: float, wy: float, facets: list[str]) -> DataFrame:
-    """Counts over square bins of two columns for each facet."""
-    return df.groupBy(
-        F.floor(F.col(x) / wx).cast("bigint").alias("bx"), F.floor(F.col(y) / wy).cast("bigint").alias("by"), *facets
-    ).agg(F.count(F.lit(1)).alias("n"))
+def histograms_2d(df: DataFrame, pairs: dict[str, tuple[str, str]], wx: float, wy: float, facets: list[str]) -> DataFrame:
+    """Per name, counts over bins of its two columns for each facet; one scan for all."""
+    bins = F.inline(F.array(*[
+        F.struct(F.lit(name).alias("name"), F.floor(F.col(x) / wx).cast("bigint").alias("bx"), F.floor(F.col(y) / wy).cast("bigint").alias("by"))
+        for name, (x, y) in pairs.items()]))
+    return df.select(*facets, bins).groupBy("name", "bx", "by", *facets).agg(F.count(F.lit(1)).alias("n"))

@@ -26,7 +26,7 @@ PENINSULA_BOX = (-15.0, 5.0, 35.0, 44.4)
 STATION_BUFFER_M = 99000.0
 PARTITION_ROWS = 15
 PARTITION_COLS = 14
-EXCLUDED_PROVINCES = ("Ceuta", "Melilla", "Palmas, Las", "Santa Cruz de Tenerife")
+EXCLUDED_PROVINCES = ("Ceuta", "Melilla", "Palmas, Las", "Las Palmas", "Santa Cruz de Tenerife")
 
 # Small grid partitions and the partition that takes them in.
 PARTITION_MERGES = {

@@ -1,5 +1,9 @@
 """Plain SQL views of the shared test tables, in the shapes of ``adapters``, for the second engine."""
 
+from skygrid.params import PARTITION_MERGES
+
+_MERGES = ", ".join(f"({lone}, {home})" for lone, home in PARTITION_MERGES.items())
+
 VIEWS = {
     "v_stations": """
   select s_suppkey as sid, concat('ST', s_suppkey) as stationid,
@@ -49,16 +53,9 @@ VIEWS = {
     cast(least(floor((4600137e0 - y) / (500000e0 / 15e0)), 14) * 14
        + least(floor((x - 300137e0) / (500000e0 / 14e0)), 13) + 1 as int) as raw_partition
   from v_cells""",
-    "v_topo": """
-  select * exclude (raw_partition), cast(case
-    when raw_partition in (98, 110, 111, 112, 123, 124, 125, 137) then 138
-    when raw_partition in (1, 23, 24, 25, 40, 41, 5, 6, 7, 8) then raw_partition + 14
-    when raw_partition in (43, 150, 177, 190, 201) then raw_partition - 14
-    when raw_partition = 69 then 55
-    when raw_partition in (59, 100, 114, 121, 128, 142, 156, 170, 185, 199) then raw_partition + 1
-    when raw_partition in (81, 95) then raw_partition - 1
-    else raw_partition end as int) as partition
-  from v_topo0""",
+    "v_topo": f"""
+  select * exclude (raw_partition, lone, home), coalesce(home, raw_partition) as partition
+  from v_topo0 left join (values {_MERGES}) as merges(lone, home) on lone = raw_partition""",
     "v_boxes": """
   select partition as i_step, min(x) as xmin, max(x) as xmax, min(y) as ymin, max(y) as ymax, count(*) as topo_ncells
   from v_topo group by partition""",

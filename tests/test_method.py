@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skygrid.functions import calendar as cal, geo, weather
 from skygrid.operators import bitmaps as bm, calibrate as cb, grid, interpolate as ip, neighbours as nb
-from skygrid.operators import rasters as ra, regions as rg, stations as st
+from skygrid.operators import rasters as ra, regions as rg, stations as st, validate as va
 from skygrid.params import CALIBRATED, DAILY_GRID, DEFAULTS, STUDY_GRID
 
 
@@ -145,6 +145,45 @@ def test_full_daily_grid_against_brute_force(spark):
         assert (count, sum_abs) == (seen, pytest.approx(total, abs=1e-6))
 
 
+@pytest.mark.parametrize("variable", ["DewTemperature", "PrecipitationEvent", "PrecipitationAmount"])
+def test_array_passes_equal_joined_passes(spark, variable):
+    """The kernel against the general interpolation, which works by joins, for two choices."""
+    obs = spark.createDataFrame(stations(30, 2), OBS)
+    pairs = ((10.0, 3.0), (20.0, 12.0))
+    got = {(r.dates, r.i_step, r.stationID, r.N): r.pred for r in cb.loo_predictions(obs, ["dates", "i_step"], variable, pairs).collect()}
+    keys = ["dates", "i_step", "chunk"]
+    for n, alpha in pairs:
+        sources = ip.as_sources(obs, ["dates", "i_step"]).withColumn("chunk", F.lit(0)).filter(F.col(ip.SOURCE_VALUES[variable]).isNotNull())
+        targets = sources.select(*keys, F.col("s_id").alias("t_id"), F.col("sx").alias("x"), F.col("sy").alias("y"), F.col("sz").alias("z"))
+        if variable == "PrecipitationAmount":
+            targets = targets.join(ip.rain_slopes(sources, ["dates", "i_step"]), ["dates", "i_step"])
+        smooth = {variable: (F.lit(n), F.lit(alpha))}
+        moments = ip.weighted_moments(targets, sources, keys, [*keys, "t_id"], [variable], smooth, ("t_id", "s_id"))
+        rows = moments.select(*keys, "t_id", ip.predicted(variable).alias("pred")).collect()
+        assert rows and len(rows) * len(pairs) == len(got)
+        for r in rows:
+            assert got[r.dates, r.i_step, r.t_id, n] == (None if r.pred is None else pytest.approx(r.pred, abs=1e-8))
+
+
+def test_small_values_have_statistics(spark):
+    rows = [(1, o, 0.9 * o) for o in (0.0, 1e-4, 2e-4, 3e-4, 4e-4)]
+    r = one(va.cv_stats(spark.createDataFrame(rows, "k int, obs double, pred double"), ["k"]))
+    assert r.r2 == pytest.approx(1.0) and r.relative_bias == pytest.approx(-0.1)
+    sums = spark.createDataFrame(rows, "k int, obs double, pred double").groupBy("k").agg(*[F.sum(e).alias(n) for n, e in cb.error_sums().items()])
+    assert one(sums.select(va.r2_column().alias("r2"))).r2 == pytest.approx(1.0)
+
+
+def test_wkt_parts_and_holes(spark):
+    wkt = "MULTIPOLYGON ((( 0 0, 40000  0, 40000 40000,0 40000, 0 0),(10000 10000, 20000 10000, 20000 20000, 10000 20000, 10000 10000)), ((0 0, 0 -5000, 5000 -5000, 5000 0, 0 0)))"
+    edges = rg.wkt_edges(spark.createDataFrame([(1, wkt), (2, "POLYGON EMPTY"), (3, None)], "id int, wkt string"), "id")
+    assert [(r.part, round(r.area_km, 6)) for r in rg.area_top(edges, "id", 10.0, 5).collect()] == [(0, 1500.0), (1, 25.0)]
+
+
+def test_wkb_of_what_is_not_finite(spark):
+    df = spark.createDataFrame([(float("nan"), 1.0), (float("inf"), 1.0), (1.0, None)], "x double, y double")
+    assert [r.h for r in df.select(geo.point_wkb_hex(F.col("x"), F.col("y")).alias("h")).collect()] == [None] * 3
+
+
 def test_rolled_calibration_equals_windows(spark):
     obs = spark.createDataFrame(stations(20, 20), OBS)
     small = {"MinTemperature": ((10.0, 3.0), (20.0, 10.0)), "PrecipitationEvent": ((5.0, 5.0), (10.0, 20.0))}
@@ -153,7 +192,9 @@ def test_rolled_calibration_equals_windows(spark):
     frames = st.window_dates(obs, wanted, 5)
     exact = cb.calibrate_frames(frames, small)
     key = lambda r: (r.date_fin, r.i_step, r.variable)
-    assert sorted(map(tuple, rolled.collect())) == sorted(map(tuple, exact.collect()))
+    rows = [sorted(map(tuple, x.collect())) for x in (rolled, exact)]
+    assert [r[:-1] for r in rows[0]] == [r[:-1] for r in rows[1]]
+    assert [r[-1] for r in rows[0]] == pytest.approx([r[-1] for r in rows[1]], abs=1e-9)
     assert len({key(r) for r in exact.collect()}) == 20 * 2 * 2
 
 

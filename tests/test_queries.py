@@ -12,7 +12,8 @@ NAMES = [
     "in_list_filter", "merge_small_partitions", "crs_transform", "wkt_edges", "point_in_polygon", "raster_mosaic",
     "terrain", "rasterize_layers", "bitmap_rows", "geohash", "multi_bbox_query_or", "join_station_partition", "join_window",
     "window_station_count", "admin_rollup", "union_stats", "argmin_params", "chunk_by_rows", "latest_station_attrs",
-    "build_interpolator", "estimate_radius", "interp_temperature", "interp_precip_amount", "radiation", "pet", "calibrate_month",
+    "build_interpolator", "estimate_radius", "interp_temperature", "interp_precip_amount", "radiation", "pet", "loo_predictions", "polygon_area_topk",
+    "histogram_1d", "histogram_2d", "station_count", "last_stat_row", "cv_stats",
 ]
 
 
