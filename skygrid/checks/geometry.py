@@ -10,7 +10,7 @@ from skygrid.checks.layout import CELL_NUMS, stored
 from skygrid.checks.registry import query, sql
 from skygrid.functions import columns, geo
 from skygrid.operators import bitmaps as bm, boxes, grid, rasters as ra, regions as rg, stations as st
-from skygrid.params import BITMAP_BLOCK
+from skygrid.params import BITMAP_BLOCK, BITMAP_RAMP
 from skygrid.schema import CELL_VARIABLES, MAP_VARIABLES
 from skygrid.sources import adapters as ad, folders, tables
 
@@ -294,7 +294,7 @@ def raster_reproject(spark, sf):
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("value"), F.min("value").alias("lo"), F.max("value").alias("hi"))
 
 
-_HEX = "['FF0D50','FB7C82','FEABAC','FFD7D7','F2EFF2','9AAABA','4B8AA1','007490','006584']"
+_HEX = "[" + ", ".join(f"'{c[1:]}'" for c in BITMAP_RAMP) + "]"
 
 
 def _channel(k):
@@ -341,7 +341,9 @@ def bitmap_images(spark, sf):
     return published_bitmaps(spark, sf)
 
 
-@query("write_bitmaps")
+@query("write_bitmaps", sql("v_icells", """
+  select strftime(dates, '%Y%m%d') as date, count(*) as n, max(most) as max_value from (
+    select dates, var, max(value) / 1000e0 as most from v_maps group by dates, var) group by dates""", "date", "n", "max_value", more=_LONLAT))
 def write_bitmaps(spark, sf):
     path = stored(spark, sf, "bitmaps", lambda path: tables.write_bitmaps(published_bitmaps(spark, sf), path))
     return tables.scan_bitmaps(spark, path).groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.max("max_value").alias("max_value"))

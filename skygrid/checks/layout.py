@@ -236,7 +236,7 @@ def scan_date_list(spark, sf):
         F.count(F.lit(1)).alias("n"), F.sum("Precipitation").alias("Precipitation"))
 
 
-@query("relayout")
+@query("relayout", sql("v_icells", "select dates, count(*) as n, avg(pet) as pet from v_icells group by dates", "dates", "n", "PET"))
 def relayout(spark, sf):
     source = _stored_cells(spark, sf)
     target = folders.new_folder(spark, "relaid")

@@ -9,7 +9,7 @@ from skygrid.checks.registry import query, sql
 from skygrid.functions import calendar as cal, columns, weather
 from skygrid.operators import boxes, grid, rasters, regions as rg, stations as st
 from skygrid.params import BITMAP_PALETTE_NAME
-from skygrid.sources import adapters as ad
+from skygrid.sources import adapters as ad, folders, tables
 
 BY_PATTERN = ("MeanTemperature MinTemperature MaxTemperature MeanRelativeHumidity MinRelativeHumidity "
               "MaxRelativeHumidity Precipitation WindSpeed WindDirection Radiation")
@@ -168,8 +168,10 @@ def union_sources(spark, sf):
   select month(dates) as month, count(*) as n, max(precipitation) as precipitation from v_interp group by month(dates)""",
     "", "month n", "Precipitation"))
 def concat_days(spark, sf):
-    # Days are rows of one frame, so joining them end to end takes no step.
-    return ad.interpolated(spark, sf).groupBy(F.month("dates").alias("month")).agg(
+    # A folder per day, written and read back as one frame from the list of folders.
+    path = folders.new_folder(spark, "days")
+    tables.write_days(ad.interpolated(spark, sf).select("dates", "Precipitation"), path, "dates")
+    return spark.read.parquet(path).groupBy(F.month("dates").alias("month")).agg(
         F.count(F.lit(1)).alias("n"), F.max("Precipitation").alias("Precipitation"))
 
 
@@ -190,12 +192,15 @@ def unnest_cells(spark, sf):
     return nested.select("cell_id", F.inline("interpolated_data"))
 
 
-@query("sample_rows")
+@query("sample_rows", sql("v_topo", "select cell_id, x, y from v_topo order by md5(cast(cell_id as varchar)) limit 100", "", "cell_id", "x y"))
 def sample_rows(spark, sf):
     # A fixed number of rows in hashed order: the same rows on every run. Sampling is the feature here.
-    return ad.topo(spark, sf).orderBy(F.xxhash64("cell_id")).limit(100).select("cell_id", "x", "y")
+    return ad.topo(spark, sf).orderBy(F.md5(F.col("cell_id").cast("string"))).limit(100).select("cell_id", "x", "y")
 
 
-@query("sample_fraction")
+@query("sample_fraction", sql("v_topo", """
+  select cell_id, x, y from v_topo where cast('0x' || substr(md5(cast(cell_id as varchar)), 1, 8) as bigint) % 10 = 0""", "", "cell_id", "x y"))
 def sample_fraction(spark, sf):
-    return ad.topo(spark, sf).sample(0.1, seed=7).select("cell_id", "x", "y")
+    # A tenth of the rows by a hash of the key: the same ones however the rows are dealt.
+    place = F.conv(F.substring(F.md5(F.col("cell_id").cast("string")), 1, 8), 16, 10).cast("bigint")
+    return ad.topo(spark, sf).filter(place % 10 == 0).select("cell_id", "x", "y")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from skygrid import schema
@@ -141,6 +142,21 @@ def materialize(df: DataFrame, path: str, *keys: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def write_days(df: DataFrame, path: str, *keys: str, rows_per_group: int | None = None) -> None:
+    """Rows into the folders of their days (``keys``); only the days in the frame are replaced."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.repartition(tasks, *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys)
+    (writer.option("parquet.block.row.count.limit", rows_per_group) if rows_per_group else writer).parquet(path)
+
+
+def stored_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or nothing when it has not been written yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
 def file_boxes(df: DataFrame, file_key: str, x: str = "x", y: str = "y") -> DataFrame:
     """Ranges of x and of y per file, taken apart and joined in full."""
     xs = df.filter(F.col(x).isNotNull()).groupBy(file_key).agg(F.min(x).alias("xmin"), F.max(x).alias("xmax"))

@@ -16,7 +16,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "conversations").split()
 
 
-def session(cores: int = 8) -> SparkSession:
+def session(cores: int = int(os.environ.get("TEST_CORES", "8"))) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]").appName("skygrid")
         .config("spark.sql.shuffle.partitions", str(cores)).config("spark.ui.enabled", "false")

@@ -281,16 +281,55 @@ def test_pipeline_end_to_end(spark, tmp_path):
         "cell_id long, partition int, x double, y double, elevation double, slope double, aspect double, TPI double")
     wkt = "POLYGON ((390000 4190000, 460000 4190000, 460000 4260000, 390000 4260000, 390000 4190000))"
     regions = spark.createDataFrame([(1, "provincia", "P", "08", wkt)], "region_id long, admin_level string, name string, cpro string, wkt string")
-    wanted = spark.createDataFrame([(date(2024, 5, 17),), (date(2024, 5, 18),)], "date_fin date")
     store = daily.Store(str(tmp_path))
     choices = {v: ((10.0, 5.0), (20.0, 10.0)) for v in CALIBRATED}
-    cells = daily.run(
-        spark, [obs.filter("service = 'aemet'"), obs.filter("service = 'ria'")], topo, regions, wanted,
-        ra.Raster(390000.0, 4330000.0, 10000.0, 14, 14), ra.Raster(-4.3, 39.2, 0.3, 6, 6), store, choices)
+
+    def run(*days):
+        wanted = spark.createDataFrame([(date(2024, 5, d),) for d in days], "date_fin date")
+        return daily.run(
+            spark, [obs.filter("service = 'aemet'"), obs.filter("service = 'ria'")], topo, regions, wanted,
+            ra.Raster(390000.0, 4330000.0, 10000.0, 14, 14), ra.Raster(-4.3, 39.2, 0.3, 6, 6), store, choices)
+
+    def files(day):
+        return {p: p.stat().st_mtime_ns for name in ("best", "cv", "series", "bitmaps") for p in (tmp_path / name).rglob(f"*{day}*/*.parquet")}
+
+    run(17)
+    before = files("2024-05-17")
+    assert len(before) >= 4
+    cells = run(17, 18)
+    assert files("2024-05-17") == before
     assert cells.count() == 288 and cells.filter("MinTemperature is null").count() == 0
     assert spark.read.parquet(store.path("series")).count() == 2
     assert spark.read.parquet(store.path("calibrations")).count() == 4
     assert len(spark.read.parquet(store.path("calibrations")).columns) == 24
     assert spark.read.parquet(store.path("bitmaps")).count() == 22
+    assert spark.read.parquet(store.path("interpolators/params")).count() == 4
+    spine = spark.createDataFrame([(date(2024, 5, 18),)], "dates date")
+    assert daily.current(spark, store, "cv", spine).select("dates").distinct().count() == 1
     assert {r.stat for r in spark.read.parquet(store.path("cv")).select("stat").distinct().collect()} == {
         "bias", "mae", "relative_bias", "n", "r2", "n_stations"}
+
+
+def test_feeds_become_raw_days(spark):
+    from skygrid.plans import daily
+
+    rows = [("2024-05-01 10:00:00", "S1", -3.0, 40.0, "aemet"), ("2024-05-02 10:00:00", "S1", -3.0, 40.0, "aemet"), ("2024-05-09 00:00:00", "S2", 0.0, 41.0, "ria")]
+    landed = spark.createDataFrame(rows, "timestamp string, stationID string, lon double, lat double, service string").withColumn("timestamp", F.to_timestamp("timestamp"))
+    wanted = spark.createDataFrame([(date(2024, 5, 1),), (date(2024, 5, 9),)], "dates date")
+    out = daily.from_feeds(landed, wanted, F.lit(date(2024, 5, 5))).orderBy("dates").collect()
+    assert [(r.stationID, r.dates) for r in out] == [("S2", date(2024, 5, 9))] and out[0].y > 4.5e6
+    assert len(daily.from_feeds(landed, wanted, F.lit(date(2024, 5, 6))).collect()) == 2
+
+
+def test_partition_with_one_station_is_published(spark, tmp_path):
+    from skygrid.plans import daily
+
+    obs = spark.createDataFrame([(date(2024, 5, 1), 1, "S1", 4e5, 42e5, 100.0, 1.0, 9.0, 0.5, 0.0, 3.0, 90.0)], OBS)
+    topo = spark.createDataFrame([(k, 1, 4e5 + k, 42e5, 100.0, 5.0, 90.0, 0.0) for k in range(3)],
+                                 "cell_id long, partition int, x double, y double, elevation double, slope double, aspect double, TPI double")
+    store = daily.Store(str(tmp_path))
+    obs.write.parquet(store.path("placed"))
+    wanted = spark.createDataFrame([(date(2024, 5, 1),)], "date_fin date")
+    best = cb.best_params(cb.error_table(obs.withColumnRenamed("dates", "date_fin"), ["date_fin", "i_step"], {"MinTemperature": ((30.0, 3.0),)}), ["date_fin", "i_step"])
+    assert best.count() == 0
+    assert [r.MinTemperature for r in daily.interpolate(spark, topo, wanted, best, store).collect()] == pytest.approx([1.0] * 3)
