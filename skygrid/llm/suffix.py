@@ -276,7 +276,8 @@ def remove_repeats(docs: DataFrame, outcome: Callable[[Column], Column] = lambda
     whole = F.col("text").cast("binary")
     docs = docs.select("doc_id", whole_text().alias("text"), F.xxhash64("doc_id", "text").alias("rid"))
     runs = written(docs.select("rid", "text").mapInArrow(_runs, "rid long, anchor long, place long, first long, n long"), "suffix-anchors")
-    twice = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("anchor")
+    # Written, so that the join below is between two shuffles and a hot anchor's rows can be split.
+    twice = written(runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("anchor"), "suffix-repeated")
     wanted = written(
         runs.join(twice, "anchor").groupBy("rid").agg(F.collect_set(F.struct("place", "first", "n")).alias("runs")), "suffix-wanted")
     shared = docs.sparkSession.sparkContext.broadcast(filter_bits(wanted, "rid"))
