@@ -211,7 +211,8 @@ def score(docs: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(often)
     n_buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch], pairs_only: bool) -> Iterator[pa.RecordBatch]:
+        """The pairs to deal out (kind 0), or what is small beside them: contexts (1) and sums of what is scored here (-1)."""
         often, sums = shared.value, _Sums()
         for batch in batches:
             rids = batch.column(1).to_numpy()
@@ -231,13 +232,15 @@ def score(docs: DataFrame) -> DataFrame:
                 have = np.where(v > 0, _lookup(often["p"], p), 0)
                 b = _lookup(often["v"], v)
                 now = (have > m) & (b > 0)
-                if now.any():
+                if now.any() and not pairs_only:
                     sums.add(r[now], m[now] * (np.log(have[now] - m[now]) - np.log(b[now] - own_v[now])), np.zeros(now.sum()))
                 # What is left of a frequent pair has no count to gather, as this document has all of it.
-                rest = ~now
-                common = _lookup(often["w"], w) > 0
-                dealt = (wd.mixed(np.where(common, p, w)) % np.uint64(n_buckets)).astype(np.int64)[rest]
-                out += _dealt(0, dealt, [x[rest] for x in (w, v, r, m, own_w, own_v)])
+                if pairs_only:
+                    rest = ~now
+                    common = _lookup(often["w"], w) > 0
+                    dealt = (wd.mixed(np.where(common, p, w)) % np.uint64(n_buckets)).astype(np.int64)[rest]
+                    out += _dealt(0, dealt, [x[rest] for x in (w, v, r, m, own_w, own_v)])
+                    continue
                 # Contexts of the batch with their counts, for the second dealing.
                 c, n = np.unique(h[:-1][~start[1:]], return_counts=True)
                 seldom = _lookup(often["w"], c) == 0
@@ -284,8 +287,10 @@ def score(docs: DataFrame) -> DataFrame:
     def by_bucket(df: DataFrame) -> DataFrame:
         return df.repartition("bucket").sortWithinPartitions("bucket")
 
-    first = written(docs.select("text", "rid").mapInArrow(read, _PACKED), "lm-ngrams")
-    second = written(by_bucket(first.where("kind = 0")).mapInArrow(pairs, _PACKED), "lm-pairs")
+    # The pairs are as large as the corpus: they are moved once and never written.
+    dealt = docs.select("text", "rid").mapInArrow(lambda b: read(b, True), _PACKED)
+    second = written(by_bucket(dealt).mapInArrow(pairs, _PACKED), "lm-pairs")
+    first = written(docs.select("text", "rid").mapInArrow(lambda b: read(b, False), _PACKED), "lm-contexts")
     third = by_bucket(first.where("kind = 1").unionByName(second.where("kind = 2"))).mapInArrow(contexts, _PACKED)
     sums = _sums_of(first).unionByName(_sums_of(second)).unionByName(_sums_of(third)).groupBy("rid").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     # Rows that are the same share a number; each has its part of the sums.
