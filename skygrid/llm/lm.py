@@ -7,8 +7,8 @@ score is the sum of logarithms.
 
 It is a join of every document's n-grams with tables of counts, both partitioned by hash. A document's distinct pairs, with their
 own counts, are dealt by their second word into buckets; a bucket holds all there is of its words and pairs, so counting and
-joining are one grouping. What then lacks the count of its context is dealt once more, by context. N-grams travel as packed columns, a row per
-bucket and batch of documents.
+joining are one grouping. What then lacks the count of its context is dealt once more, by context. N-grams travel as packed and compressed
+columns, a row per bucket and some million n-grams that a task holds.
 
 Words and pairs that make a 4,096th of the corpus or more (4,096 of each at most, so of a proven size) are found
 first by counts in 65,536 groups, counted exactly, and given to every task: such pairs are scored where they are read, and
@@ -35,8 +35,12 @@ BACKOFF = 0.4
 GROUPS = 1 << 16
 SHARE = 1 << 12
 _MASK = np.uint64((1 << 48) - 1)
-_PACKED = "bucket int, kind int, w binary, v binary, rid binary, m binary, mw binary, mv binary"
-NAMES = ["bucket", "kind", "w", "v", "rid", "m", "mw", "mv"]
+# Pairs that a task holds before it deals them out: some 50 MB.
+HELD = 1 << 20
+_PACKED = "bucket int, kind int, n long, data binary"
+NAMES = ["bucket", "kind", "n", "data"]
+# Bytes of a packed pair: two hashes, the number of its row, three counts.
+WIDTH = 6 + 6 + 8 + 3 * 4
 
 
 def _pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -47,9 +51,9 @@ def _six(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
 
-def _eight(b: bytes) -> np.ndarray:
+def _eight(b: np.ndarray) -> np.ndarray:
     out = np.zeros((len(b) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
+    out[:, :6] = b.reshape(-1, 6)
     return out.view("<u8").ravel().astype(np.uint64)
 
 
@@ -147,59 +151,88 @@ class _Sums:
         ids, at = np.unique(rid, return_inverse=True)
         return ids, np.bincount(at, s, len(ids)), np.bincount(at, b, len(ids)).astype(np.int64)
 
-    def batch(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def batch(self) -> Iterator[pa.RecordBatch]:
+        """A row of kind -1."""
         if self.parts:
-            yield self.merged()
+            rid, s, n = self.merged()
+            data = rid.astype("<i8").tobytes() + s.astype("<f8").tobytes() + n.astype("<i8").tobytes()
+            yield _batch([(0, -1, len(rid), pa.compress(data, "zstd", asbytes=True))])
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Counts, lowest bytes first, so that the high ones are runs of zeros."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
 def _row(bucket: int, kind: int, w, v, rid, m, mw, mv) -> tuple:
-    return (bucket, kind, _six(w), _six(v), rid.astype("<i8").tobytes(), *[x.astype("<u4").tobytes() for x in (m, mw, mv)])
+    data = b"".join([_six(w), _six(v), rid.astype("<i8").tobytes(), *[_planes(x) for x in (m, mw, mv)]])
+    return bucket, kind, len(w), pa.compress(data, "zstd", asbytes=True)
 
 
-def _dealt(kind: int, buckets: np.ndarray, cols: list[np.ndarray]) -> Iterator[tuple]:
-    order = np.argsort(buckets, kind="stable")
-    limits = np.flatnonzero(np.diff(buckets[order])) + 1
-    for part in np.split(order, limits) if len(order) else []:
-        yield _row(int(buckets[part[0]]), kind, *[c[part] for c in cols])
+class _Held:
+    """Pairs to deal out, gathered over batches: a task makes one packed row a bucket and HELD pairs, whatever it reads."""
+
+    def __init__(self, kind: int, n_buckets: int):
+        self.kind, self.n_buckets = kind, np.uint64(n_buckets)
+        self.parts: list[list[np.ndarray]] = []
+        self.rows = 0
+
+    def add(self, key: np.ndarray, *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Pairs that go to the bucket of their key; those of a document lie together."""
+        if len(key):
+            self.parts.append([(wd.mixed(key) % self.n_buckets).astype(np.int64), *cols])
+            self.rows += len(key)
+        if self.rows >= HELD:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.parts:
+            buckets, *cols = (np.concatenate(x) for x in zip(*self.parts))
+            self.parts, self.rows = [], 0
+            order = np.argsort(buckets, kind="stable")
+            limits = np.flatnonzero(np.diff(buckets[order])) + 1
+            yield _batch([_row(int(buckets[part[0]]), self.kind, *[c[part] for c in cols]) for part in np.split(order, limits)])
 
 
-def _batch(rows: list[tuple], sums: tuple | None = None) -> pa.RecordBatch:
-    """Packed rows, and sums as a row of kind -1 whose columns are rid, s and n."""
-    if sums is not None:
-        rid, s, n = sums
-        rows = rows + [(0, -1, b"", s.astype("<f8").tobytes(), rid.astype("<i8").tobytes(), n.astype("<i8").tobytes(), b"", b"")]
-    cols = list(zip(*rows)) if rows else [[]] * 8
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i < 2 else pa.binary()) for i, c in enumerate(cols)], NAMES)
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [[]] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int64(), pa.binary()))], NAMES)
 
 
-def _unpacked(rows: list[tuple]) -> list[np.ndarray]:
-    w, v, rid, m, mw, mv = (b"".join(r[i] for r in rows) for i in range(6))
-    return [_eight(w), _eight(v), np.frombuffer(rid, "<i8"), *[np.frombuffer(x, "<u4").astype(np.int64) for x in (m, mw, mv)]]
+def _unpacked(rows: list[tuple[int, bytes]]) -> list[np.ndarray]:
+    parts = []
+    for n, data in rows:
+        x = np.frombuffer(pa.decompress(data, n * WIDTH, "zstd", asbytes=True), np.uint8)
+        counts = x[20 * n:].reshape(3, 4, n)
+        parts.append([_eight(x[:6 * n]), _eight(x[6 * n:12 * n]), x[12 * n:20 * n].view("<i8"),
+                      *[np.ascontiguousarray(c.T).view("<u4").ravel().astype(np.int64) for c in counts]])
+    return [np.concatenate(c) for c in zip(*parts)]
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list[tuple]]]]:
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[int, list[tuple[int, bytes]]]]:
     """Rows sorted by bucket, a bucket at a time, by kind."""
     now, held = None, {}
     for batch in batches:
         for bucket, kind, *rest in zip(*(c.to_pylist() for c in batch.columns)):
             if bucket != now:
                 if held:
-                    yield now, held
+                    yield held
                 now, held = bucket, {}
             held.setdefault(kind, []).append(rest)
     if held:
-        yield now, held
+        yield held
 
 
 def _sums_of(df: DataFrame) -> DataFrame:
     """The rows of kind -1 as rid, s, n."""
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s, rid, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for n, data in zip(*(c.to_pylist() for c in batch.columns)):
+                x = pa.decompress(data, 24 * n, "zstd", asbytes=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(rid, "<i8")), pa.array(np.frombuffer(s, "<f8")), pa.array(np.frombuffer(n, "<i8"))], ["rid", "s", "n"])
+                    [pa.array(np.frombuffer(x, t, n, 8 * n * i)) for i, t in enumerate(("<i8", "<f8", "<i8"))], ["rid", "s", "n"])
 
-    return df.where("kind = -1").select("v", "rid", "m").mapInArrow(unpack, "rid long, s double, n long")
+    return df.where("kind = -1").select("n", "data").mapInArrow(unpack, "rid long, s double, n long")
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -213,10 +246,9 @@ def score(docs: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch], pairs_only: bool) -> Iterator[pa.RecordBatch]:
         """The pairs to deal out (kind 0), or what is small beside them: contexts (1) and sums of what is scored here (-1)."""
-        often, sums = shared.value, _Sums()
+        often, sums, held = shared.value, _Sums(), _Held(0 if pairs_only else 1, n_buckets)
         for batch in batches:
             rids = batch.column(1).to_numpy()
-            out: list[tuple] = []
             for first, h, row in _words(batch.column(0)):
                 if not len(h):
                     continue
@@ -225,6 +257,8 @@ def score(docs: DataFrame) -> DataFrame:
                 v = np.where(start, np.uint64(0), np.concatenate([[np.uint64(0)], h[:-1]]))
                 pair = wd.mixed(_pair(v, h) * wd._STEP + row.astype(np.uint64))
                 _, at, m = np.unique(pair, return_index=True, return_counts=True)
+                order = np.argsort(at)
+                at, m = at[order], m[order]
                 own_w, own_v = _own(row, h)[at], np.where(start, 0, _own(row, v))[at]
                 w, v, r = h[at], v[at], rids[first + row[at]]
                 p = _pair(v, w)
@@ -238,22 +272,20 @@ def score(docs: DataFrame) -> DataFrame:
                 if pairs_only:
                     rest = ~now
                     common = _lookup(often["w"], w) > 0
-                    dealt = (wd.mixed(np.where(common, p, w)) % np.uint64(n_buckets)).astype(np.int64)[rest]
-                    out += _dealt(0, dealt, [x[rest] for x in (w, v, r, m, own_w, own_v)])
+                    yield from held.add(np.where(common, p, w)[rest], *[x[rest] for x in (w, v, r, m, own_w, own_v)])
                     continue
                 # Contexts of the batch with their counts, for the second dealing.
                 c, n = np.unique(h[:-1][~start[1:]], return_counts=True)
                 seldom = _lookup(often["w"], c) == 0
                 c, n = c[seldom], n[seldom]
                 zero = np.zeros(len(c), np.int64)
-                out += _dealt(1, (wd.mixed(c) % np.uint64(n_buckets)).astype(np.int64), [c, c, zero, n, zero, zero])
-            yield _batch(out)
-        for s in sums.batch():
-            yield _batch([], s)
+                yield from held.add(c, c, c, zero, n, zero, zero)
+        yield from held.rest()
+        yield from sums.batch()
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, sums = shared.value, _Sums()
-        for _, kinds in _buckets(batches):
+        often, sums, held = shared.value, _Sums(), _Held(2, n_buckets)
+        for kinds in _buckets(batches):
             w, v, rid, m, mw, mv = _unpacked(kinds[0])
             _, at = np.unique(_pair(v, w), return_inverse=True)
             a = np.where(v > 0, np.bincount(at, m)[at].astype(np.int64) - m, 0)
@@ -266,14 +298,14 @@ def score(docs: DataFrame) -> DataFrame:
             s = np.where(pair, np.log(np.maximum(a, 1)), np.log(np.maximum(u, 0.5))) - np.where(done, np.log(np.maximum(b, 1)), 0.0)
             sums.add(rid, m * s, np.where(pair | (v == 0), 0, m))
             more = pair & ~done
-            zero = np.zeros(more.sum(), np.int64)
-            yield _batch(list(_dealt(2, (wd.mixed(v[more]) % np.uint64(n_buckets)).astype(np.int64), [v[more], v[more], rid[more], m[more], zero, mv[more]])))
-        for s in sums.batch():
-            yield _batch([], s)
+            v, rid, m, mv = (x[more] for x in (v, rid, m, mv))
+            yield from held.add(v, v, v, rid, m, np.zeros(len(v), np.int64), mv)
+        yield from held.rest()
+        yield from sums.batch()
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums()
-        for _, kinds in _buckets(batches):
+        for kinds in _buckets(batches):
             if 2 not in kinds:
                 continue
             c, _, _, n, _, _ = _unpacked(kinds[1])
@@ -281,8 +313,7 @@ def score(docs: DataFrame) -> DataFrame:
             _, v, rid, m, _, mv = _unpacked(kinds[2])
             b = _lookup((keys, np.bincount(at, n).astype(np.int64)), v) - mv
             sums.add(rid, -m * np.log(np.maximum(b, 1)), np.zeros(len(m)))
-        for s in sums.batch():
-            yield _batch([], s)
+        yield from sums.batch()
 
     def by_bucket(df: DataFrame) -> DataFrame:
         return df.repartition("bucket").sortWithinPartitions("bucket")
