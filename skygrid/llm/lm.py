@@ -8,7 +8,7 @@ score is the sum of logarithms.
 It is a join of every document's n-grams with tables of counts, both partitioned by hash. A document's distinct pairs, with their
 own counts, are dealt by their second word into buckets; a bucket holds all there is of its words and pairs, so counting and
 joining are one grouping. What then lacks the count of its context is dealt once more, by context. N-grams travel as packed and compressed
-columns, a row per bucket and some million n-grams that a task holds.
+columns, a row per bucket and half a million n-grams that a task holds.
 
 Words and pairs that make a 4,096th of the corpus or more (4,096 of each at most, so of a proven size) are found
 first by counts in 65,536 groups, counted exactly, and given to every task: such pairs are scored where they are read, and
@@ -35,8 +35,8 @@ BACKOFF = 0.4
 GROUPS = 1 << 16
 SHARE = 1 << 12
 _MASK = np.uint64((1 << 48) - 1)
-# Pairs that a task holds before it deals them out: some 50 MB.
-HELD = 1 << 20
+# Pairs that a task holds before it deals them out, and twice as many parts of sums before it adds them up: some 30 MB each.
+HELD = 1 << 19
 _PACKED = "bucket int, kind int, n long, data binary"
 NAMES = ["bucket", "kind", "n", "data"]
 # Bytes of a packed pair: two hashes, the number of its row, three counts.
@@ -133,28 +133,33 @@ def _lookup(table: tuple[np.ndarray, np.ndarray], x: np.ndarray) -> np.ndarray:
 
 
 class _Sums:
-    """Sums of logarithms and of words backed off, per document, held until a task ends."""
+    """Sums of logarithms and of words backed off, per document, added up in a task until they are many or the task ends."""
 
     def __init__(self):
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.rows = 0
 
-    def add(self, rid: np.ndarray, s: np.ndarray, backed: np.ndarray) -> None:
-        self.parts.append((rid, s, backed))
-        self.rows += len(rid)
-        if self.rows > 4_000_000:
+    def add(self, rid: np.ndarray, s: np.ndarray, backed: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Sums of the same document may come more than once; they go out when the different ones fill the memory set aside."""
+        if len(rid):
+            self.parts.append((rid, s, backed))
+            self.rows += len(rid)
+        if self.rows >= 2 * HELD:
             self.parts = [self.merged()]
             self.rows = len(self.parts[0][0])
+            if self.rows >= HELD:
+                yield from self.rest()
 
     def merged(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rid, s, b = (np.concatenate(x) for x in zip(*self.parts))
         ids, at = np.unique(rid, return_inverse=True)
-        return ids, np.bincount(at, s, len(ids)), np.bincount(at, b, len(ids)).astype(np.int64)
+        return ids, np.bincount(at, s, len(ids)), np.bincount(at, b, len(ids))
 
-    def batch(self) -> Iterator[pa.RecordBatch]:
+    def rest(self) -> Iterator[pa.RecordBatch]:
         """A row of kind -1."""
         if self.parts:
             rid, s, n = self.merged()
+            self.parts, self.rows = [], 0
             data = rid.astype("<i8").tobytes() + s.astype("<f8").tobytes() + n.astype("<i8").tobytes()
             yield _batch([(0, -1, len(rid), pa.compress(data, "zstd", asbytes=True))])
 
@@ -267,7 +272,7 @@ def score(docs: DataFrame) -> DataFrame:
                 b = _lookup(often["v"], v)
                 now = (have > m) & (b > 0)
                 if now.any() and not pairs_only:
-                    sums.add(r[now], m[now] * (np.log(have[now] - m[now]) - np.log(b[now] - own_v[now])), np.zeros(now.sum()))
+                    yield from sums.add(r[now], m[now] * (np.log(have[now] - m[now]) - np.log(b[now] - own_v[now])), np.zeros(now.sum()))
                 # What is left of a frequent pair has no count to gather, as this document has all of it.
                 if pairs_only:
                     rest = ~now
@@ -281,7 +286,7 @@ def score(docs: DataFrame) -> DataFrame:
                 zero = np.zeros(len(c), np.int64)
                 yield from held.add(c, c, c, zero, n, zero, zero)
         yield from held.rest()
-        yield from sums.batch()
+        yield from sums.rest()
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, sums, held = shared.value, _Sums(), _Held(2, n_buckets)
@@ -296,12 +301,12 @@ def score(docs: DataFrame) -> DataFrame:
             pair = a > 0
             done = pair & (_lookup(often["v"], v) > 0)
             s = np.where(pair, np.log(np.maximum(a, 1)), np.log(np.maximum(u, 0.5))) - np.where(done, np.log(np.maximum(b, 1)), 0.0)
-            sums.add(rid, m * s, np.where(pair | (v == 0), 0, m))
+            yield from sums.add(rid, m * s, np.where(pair | (v == 0), 0, m))
             more = pair & ~done
             v, rid, m, mv = (x[more] for x in (v, rid, m, mv))
             yield from held.add(v, v, v, rid, m, np.zeros(len(v), np.int64), mv)
         yield from held.rest()
-        yield from sums.batch()
+        yield from sums.rest()
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums()
@@ -312,8 +317,8 @@ def score(docs: DataFrame) -> DataFrame:
             keys, at = np.unique(c, return_inverse=True)
             _, v, rid, m, _, mv = _unpacked(kinds[2])
             b = _lookup((keys, np.bincount(at, n).astype(np.int64)), v) - mv
-            sums.add(rid, -m * np.log(np.maximum(b, 1)), np.zeros(len(m)))
-        yield from sums.batch()
+            yield from sums.add(rid, -m * np.log(np.maximum(b, 1)), np.zeros(len(m)))
+        yield from sums.rest()
 
     def by_bucket(df: DataFrame) -> DataFrame:
         return df.repartition("bucket").sortWithinPartitions("bucket")
