@@ -13,6 +13,8 @@ columns, a row per bucket and half a million n-grams that a task holds.
 Words and pairs that make a 4,096th of the corpus or more (4,096 of each at most, so of a proven size) are found
 first by counts in 65,536 groups, counted exactly, and given to every task: such pairs are scored where they are read, and
 pairs with such a second word are dealt by the whole pair. So no bucket holds more than its share of a frequent word.
+Contexts that make a 262,144th or more (262,144 at most, 4 MB) are given to every task as well; only pairs of the rarer ones
+are dealt a second time.
 
 Words are lower-cased (A to Z) and held as 48-bit hashes: of a billion different words, some thousand share theirs.
 
@@ -34,6 +36,7 @@ from skygrid.llm.common import WORD, whole_text, written
 BACKOFF = 0.4
 GROUPS = 1 << 16
 SHARE = 1 << 12
+CONTEXTS = 1 << 18
 _MASK = np.uint64((1 << 48) - 1)
 # Pairs that a task holds before it deals them out, and twice as many parts of sums before it adds them up: some 30 MB each.
 HELD = 1 << 19
@@ -88,19 +91,19 @@ def _grouped(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _frequent(docs: DataFrame, groups: np.ndarray, total: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Exact counts of frequent words (w), of those as contexts (v) and of frequent pairs (p); 4,096 of each at most."""
-    hot = groups * SHARE >= max(total, 1)
-    shared = docs.sparkSession.sparkContext.broadcast(hot)
+    """Exact counts of frequent words (w) and pairs (p), 4,096 of each at most, and of contexts (v), 262,144 at most."""
+    hot, context = groups * SHARE >= max(total, 1), groups * CONTEXTS >= max(total, 1)
+    shared = docs.sparkSession.sparkContext.broadcast((hot, context))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = shared.value
+        hot, context = shared.value
         for batch in batches:
             kinds, keys, counts = [], [], []
             for _, h, row in _words(batch.column(0)):
                 same = row[1:] == row[:-1]
                 v, p = h[:-1][same], _pair(h[:-1], h[1:])[same]
-                for kind, x, base in (("w", h, 0), ("v", v, 0), ("p", p, GROUPS)):
-                    x = x[hot[(x % np.uint64(GROUPS)).astype(np.int64) + base]]
+                for kind, x, base, wanted in (("w", h, 0, hot), ("v", v, 0, context), ("p", p, GROUPS, hot)):
+                    x = x[wanted[(x % np.uint64(GROUPS)).astype(np.int64) + base]]
                     k, n = np.unique(x, return_counts=True)
                     kinds += [kind] * len(k)
                     keys.append(k)
@@ -111,11 +114,9 @@ def _frequent(docs: DataFrame, groups: np.ndarray, total: int) -> dict[str, tupl
 
     counts = docs.select("text").mapInArrow(count, "kind string, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
     rows = written(counts, "lm-frequent")
-    limit = -(-max(total, 1) // SHARE)
-    # A count of that share for at most 4,096 words and as many pairs; the contexts are those words.
-    often = rows.where((F.col("n") >= limit) & (F.col("kind") != "v"))
-    contexts = rows.where("kind = 'v'").join(often.where("kind = 'w'").select("key"), "key", "left_semi").select("kind", "key", "n")
-    found = often.select("kind", "key", "n").unionByName(contexts).toPandas()
+    # A count of that share, which at most so many words, pairs or contexts can have.
+    limit = F.when(F.col("kind") == "v", -(-max(total, 1) // CONTEXTS)).otherwise(-(-max(total, 1) // SHARE))
+    found = rows.where(F.col("n") >= limit).select("kind", "key", "n").toArrow().to_pandas()
     out = {}
     for kind in "wvp":
         part = found[found["kind"] == kind].sort_values("key")
@@ -281,7 +282,7 @@ def score(docs: DataFrame) -> DataFrame:
                     continue
                 # Contexts of the batch with their counts, for the second dealing.
                 c, n = np.unique(h[:-1][~start[1:]], return_counts=True)
-                seldom = _lookup(often["w"], c) == 0
+                seldom = _lookup(often["v"], c) == 0
                 c, n = c[seldom], n[seldom]
                 zero = np.zeros(len(c), np.int64)
                 yield from held.add(c, c, c, zero, n, zero, zero)
