@@ -38,7 +38,7 @@ GROUPS = 1 << 16
 SHARE = 1 << 12
 CONTEXTS = 1 << 18
 _MASK = np.uint64((1 << 48) - 1)
-# Pairs that a task holds before it deals them out, and twice as many parts of sums before it adds them up: some 30 MB each.
+# Pairs that a task holds before it deals them out, and as many parts of sums before it adds them up: some 20 MB each.
 HELD = 1 << 19
 _PACKED = "bucket int, kind int, n long, data binary"
 NAMES = ["bucket", "kind", "n", "data"]
@@ -145,10 +145,10 @@ class _Sums:
         if len(rid):
             self.parts.append((rid, s, backed))
             self.rows += len(rid)
-        if self.rows >= 2 * HELD:
+        if self.rows >= HELD:
             self.parts = [self.merged()]
             self.rows = len(self.parts[0][0])
-            if self.rows >= HELD:
+            if 2 * self.rows >= HELD:
                 yield from self.rest()
 
     def merged(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,7 +186,7 @@ class _Held:
     def add(self, key: np.ndarray, *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Pairs that go to the bucket of their key; those of a document lie together."""
         if len(key):
-            self.parts.append([(wd.mixed(key) % self.n_buckets).astype(np.int64), *cols])
+            self.parts.append([(wd.mixed(key) % self.n_buckets).astype(np.int32), *cols[:3], *[c.astype(np.uint32) for c in cols[3:]]])
             self.rows += len(key)
         if self.rows >= HELD:
             yield from self.rest()
@@ -206,13 +206,16 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _unpacked(rows: list[tuple[int, bytes]]) -> list[np.ndarray]:
-    parts = []
+    """w, v, rid, m, mw, mv of packed rows, each in one array that is filled row by row."""
+    total, at = sum(n for n, _ in rows), 0
+    out = [np.empty(total, t) for t in (np.uint64, np.uint64, np.int64, np.uint32, np.uint32, np.uint32)]
     for n, data in rows:
         x = np.frombuffer(pa.decompress(data, n * WIDTH, "zstd", asbytes=True), np.uint8)
         counts = x[20 * n:].reshape(3, 4, n)
-        parts.append([_eight(x[:6 * n]), _eight(x[6 * n:12 * n]), x[12 * n:20 * n].view("<i8"),
-                      *[np.ascontiguousarray(c.T).view("<u4").ravel().astype(np.int64) for c in counts]])
-    return [np.concatenate(c) for c in zip(*parts)]
+        for to, part in zip(out, [_eight(x[:6 * n]), _eight(x[6 * n:12 * n]), x[12 * n:20 * n].view("<i8"), *[np.ascontiguousarray(c.T).view("<u4").ravel() for c in counts]]):
+            to[at:at + n] = part
+        at += n
+    return out
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[int, list[tuple[int, bytes]]]]:
@@ -292,7 +295,17 @@ def score(docs: DataFrame) -> DataFrame:
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, sums, held = shared.value, _Sums(), _Held(2, n_buckets)
         for kinds in _buckets(batches):
-            w, v, rid, m, mw, mv = _unpacked(kinds[0])
+            # A part of the bucket at a time, by the key that dealt it.
+            cols = _unpacked(kinds.pop(0))
+            of = (wd.mixed(np.where(_lookup(often["w"], cols[0]) > 0, _pair(cols[1], cols[0]), cols[0])) >> np.uint64(61)).astype(np.uint8)
+            for part in range(8):
+                yield from scored(often, sums, held, *[c[of == part] for c in cols])
+        yield from held.rest()
+        yield from sums.rest()
+
+    def scored(often: dict, sums: _Sums, held: _Held, w, v, rid, m, mw, mv) -> Iterator[pa.RecordBatch]:
+        if len(w):
+            m, mw, mv = (x.astype(np.int64) for x in (m, mw, mv))
             _, at = np.unique(_pair(v, w), return_inverse=True)
             a = np.where(v > 0, np.bincount(at, m)[at].astype(np.int64) - m, 0)
             _, at = np.unique(w, return_inverse=True)
@@ -306,8 +319,6 @@ def score(docs: DataFrame) -> DataFrame:
             more = pair & ~done
             v, rid, m, mv = (x[more] for x in (v, rid, m, mv))
             yield from held.add(v, v, v, rid, m, np.zeros(len(v), np.int64), mv)
-        yield from held.rest()
-        yield from sums.rest()
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums()
@@ -315,8 +326,10 @@ def score(docs: DataFrame) -> DataFrame:
             if 2 not in kinds:
                 continue
             c, _, _, n, _, _ = _unpacked(kinds[1])
+            n = n.astype(np.int64)
             keys, at = np.unique(c, return_inverse=True)
             _, v, rid, m, _, mv = _unpacked(kinds[2])
+            m, mv = m.astype(np.int64), mv.astype(np.int64)
             b = _lookup((keys, np.bincount(at, n).astype(np.int64)), v) - mv
             yield from sums.add(rid, -m * np.log(np.maximum(b, 1)), np.zeros(len(m)))
         yield from sums.rest()
