@@ -10,9 +10,11 @@ own counts, are dealt by their second word into buckets; a bucket holds all ther
 joining are one grouping. What then lacks the count of its context is dealt once more, by context. N-grams travel as packed and compressed
 columns, a row per bucket and half a million n-grams that a task holds.
 
-Words and pairs that make a 4,096th of the corpus or more (4,096 of each at most, so of a proven size) are found
-first by counts in 65,536 groups, counted exactly, and given to every task: such pairs are scored where they are read, and
-pairs with such a second word are dealt by the whole pair. So no bucket holds more than its share of a frequent word.
+The number of buckets follows the number of words, so that a bucket, which a task holds whole, has some half a million pairs
+whatever the corpus and the settings. Words and pairs that make a 4,096th of the corpus or more, or more than a bucket shall
+hold (4,096 of each at most, or the number of buckets, so of a proven size), are found first by counts in 65,536 groups, counted
+exactly, and given to every task: such pairs, and such words at the start of a document, are scored where they are read, and
+other pairs with such a second word are dealt by the whole pair. So no key has more rows than a bucket shall hold.
 Contexts that make a 262,144th or more (262,144 at most, 4 MB) are given to every task as well; only pairs of the rarer ones
 are dealt a second time.
 
@@ -38,6 +40,8 @@ GROUPS = 1 << 16
 SHARE = 1 << 12
 CONTEXTS = 1 << 18
 _MASK = np.uint64((1 << 48) - 1)
+# Pairs of a bucket on average, and of one key at most.
+BUCKET = 1 << 19
 # Pairs that a task holds before it deals them out, and as many parts of sums before it adds them up: some 20 MB each.
 HELD = 1 << 19
 _PACKED = "bucket int, kind int, n long, data binary"
@@ -90,9 +94,17 @@ def _grouped(docs: DataFrame) -> tuple[np.ndarray, int]:
     return out, int(out[:GROUPS].sum())
 
 
+def _n_buckets(total: int, partitions: int) -> int:
+    """So many that a bucket has BUCKET of ``total`` words on average, and enough for every task."""
+    return max(4 * partitions, -(-total // BUCKET))
+
+
 def _frequent(docs: DataFrame, groups: np.ndarray, total: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Exact counts of frequent words (w) and pairs (p), 4,096 of each at most, and of contexts (v), 262,144 at most."""
-    hot, context = groups * SHARE >= max(total, 1), groups * CONTEXTS >= max(total, 1)
+    """Exact counts of frequent words (w) and pairs (p), 4,096 of each at most, and of contexts (v), 262,144 at most; more
+    only where a word of a smaller share would fill a bucket."""
+    share = max(SHARE, -(-total // BUCKET))
+    contexts = max(CONTEXTS, share)
+    hot, context = groups * share >= max(total, 1), groups * contexts >= max(total, 1)
     shared = docs.sparkSession.sparkContext.broadcast((hot, context))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +127,7 @@ def _frequent(docs: DataFrame, groups: np.ndarray, total: int) -> dict[str, tupl
     counts = docs.select("text").mapInArrow(count, "kind string, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
     rows = written(counts, "lm-frequent")
     # A count of that share, which at most so many words, pairs or contexts can have.
-    limit = F.when(F.col("kind") == "v", -(-max(total, 1) // CONTEXTS)).otherwise(-(-max(total, 1) // SHARE))
+    limit = F.when(F.col("kind") == "v", -(-max(total, 1) // contexts)).otherwise(-(-max(total, 1) // share))
     found = rows.where(F.col("n") >= limit).select("kind", "key", "n").toArrow().to_pandas()
     out = {}
     for kind in "wvp":
@@ -232,6 +244,10 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[int, list[tuple
         yield held
 
 
+def _by_bucket(df: DataFrame) -> DataFrame:
+    return df.repartition("bucket").sortWithinPartitions("bucket")
+
+
 def _sums_of(df: DataFrame) -> DataFrame:
     """The rows of kind -1 as rid, s, n."""
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +267,7 @@ def score(docs: DataFrame) -> DataFrame:
     groups, total = _grouped(docs)
     often = _frequent(docs, groups, total)
     shared = spark.sparkContext.broadcast(often)
-    n_buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = _n_buckets(total, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def read(batches: Iterator[pa.RecordBatch], pairs_only: bool) -> Iterator[pa.RecordBatch]:
         """The pairs to deal out (kind 0), or what is small beside them: contexts (1) and sums of what is scored here (-1)."""
@@ -271,17 +287,18 @@ def score(docs: DataFrame) -> DataFrame:
                 own_w, own_v = _own(row, h)[at], np.where(start, 0, _own(row, v))[at]
                 w, v, r = h[at], v[at], rids[first + row[at]]
                 p = _pair(v, w)
-                # Frequent pairs are scored here; one that is only this document's own goes on like any other.
+                # What has all its counts is scored here: frequent pairs, and frequent words at the start.
                 have = np.where(v > 0, _lookup(often["p"], p), 0)
-                b = _lookup(often["v"], v)
-                now = (have > m) & (b > 0)
+                b, u = _lookup(often["v"], v), _lookup(often["w"], w)
+                now = (u > 0) & ((v == 0) | (have > 0))
                 if now.any() and not pairs_only:
-                    yield from sums.add(r[now], m[now] * (np.log(have[now] - m[now]) - np.log(b[now] - own_v[now])), np.zeros(now.sum()))
-                # What is left of a frequent pair has no count to gather, as this document has all of it.
+                    pair = (have > m)[now]
+                    s = np.where(
+                        pair, np.log(np.maximum(have - m, 1)[now]) - np.log(np.maximum(b - own_v, 1)[now]), np.log(np.maximum(u - own_w, 0.5)[now]))
+                    yield from sums.add(r[now], m[now] * s, np.where(pair | (v[now] == 0), 0, m[now]))
                 if pairs_only:
                     rest = ~now
-                    common = _lookup(often["w"], w) > 0
-                    yield from held.add(np.where(common, p, w)[rest], *[x[rest] for x in (w, v, r, m, own_w, own_v)])
+                    yield from held.add(np.where(u > 0, p, w)[rest], *[x[rest] for x in (w, v, r, m, own_w, own_v)])
                     continue
                 # Contexts of the batch with their counts, for the second dealing.
                 c, n = np.unique(h[:-1][~start[1:]], return_counts=True)
@@ -334,14 +351,11 @@ def score(docs: DataFrame) -> DataFrame:
             yield from sums.add(rid, -m * np.log(np.maximum(b, 1)), np.zeros(len(m)))
         yield from sums.rest()
 
-    def by_bucket(df: DataFrame) -> DataFrame:
-        return df.repartition("bucket").sortWithinPartitions("bucket")
-
     # The pairs are as large as the corpus: they are moved once and never written.
     dealt = docs.select("text", "rid").mapInArrow(lambda b: read(b, True), _PACKED)
-    second = written(by_bucket(dealt).mapInArrow(pairs, _PACKED), "lm-pairs")
+    second = written(_by_bucket(dealt).mapInArrow(pairs, _PACKED), "lm-pairs")
     first = written(docs.select("text", "rid").mapInArrow(lambda b: read(b, False), _PACKED), "lm-contexts")
-    third = by_bucket(first.where("kind = 1").unionByName(second.where("kind = 2"))).mapInArrow(contexts, _PACKED)
+    third = _by_bucket(first.where("kind = 1").unionByName(second.where("kind = 2"))).mapInArrow(contexts, _PACKED)
     sums = _sums_of(first).unionByName(_sums_of(second)).unionByName(_sums_of(third)).groupBy("rid").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     # Rows that are the same share a number; each has its part of the sums.
     sized = docs.select("doc_id", "rid", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"))

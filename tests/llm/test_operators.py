@@ -289,6 +289,64 @@ def test_scores(llm, odd, none, monkeypatch):
     assert lm.score(odd).count() == len(ODD) and lm.score(none).collect() == []
 
 
+def lm_rows(seed):
+    rng = random.Random(seed)
+    some = ["a", "b", "The", "the", "c"]
+    rows = [(i, " ".join(rng.choice([*some, f"w{rng.randrange(40)}", f"r{rng.randrange(10**6)}"]) for _ in range(rng.randrange(60)))) for i in range(60)]
+    return rows + [(60, rows[3][1]), (3, rows[3][1]), (61, None), (62, "solo solo " * 300), (63, "a")] + [(100 + i, f"the u{i}") for i in range(400)]
+
+
+def backed_off(rows, order):
+    """Brute force over words: doc_id, n_words, words scored below the longest context they have, log score."""
+    docs = [(i, (t or "").lower().split()) for i, t in rows]
+
+    def grams(d):
+        return [collections.Counter(tuple(d[i:i + k]) for i in range(len(d) - k + 1)) for k in range(order + 1)]
+
+    def heads(d):
+        return [collections.Counter(tuple(d[i:i + k]) for i in range(len(d) - k)) for k in range(order)]
+
+    all_g, all_h = ([sum((f(d)[k] for _, d in docs), collections.Counter()) for k in range(order + n)] for f, n in ((grams, 1), (heads, 0)))
+    want = []
+    for i, d in docs:
+        own_g, own_h, back, s = grams(d), heads(d), 0, 0.0
+        for at, w in enumerate(d):
+            for k in range(min(order, at + 1), 0, -1):
+                g = tuple(d[at + 1 - k:at + 1])
+                n = all_g[k][g] - own_g[k][g]
+                if k == 1:
+                    s += math.log(max(n, 0.5) / max(sum(len(x) for _, x in docs) - len(d), 1))
+                elif n > 0:
+                    s += math.log(n / (all_h[k - 1][g[:-1]] - own_h[k - 1][g[:-1]]))
+                    break
+                else:
+                    s += math.log(0.4)
+            back += k < min(order, at + 1)
+        want.append((i, len(d), back, s))
+    return sorted(want)
+
+
+def like(got, want):
+    got = sorted((r.doc_id, r.n_words, r.n_backed_off, r.log_score) for r in got)
+    assert [g[:3] for g in got] == [w[:3] for w in want] and [g[3] for g in got] == pytest.approx([w[3] for w in want], abs=1e-5)
+
+
+def test_buckets_follow_the_corpus(llm, monkeypatch):
+    """However few tasks there are, a bucket has a bounded number of n-grams, also where many documents start alike."""
+    assert lm._n_buckets(8 * 10**9, 12) >= 8 * 10**9 / lm.BUCKET and lm._n_buckets(10, 12) == 48
+    for name, value in (("BUCKET", 32), ("SHARE", 16), ("CONTEXTS", 16)):
+        monkeypatch.setattr(lm, name, value)
+    most, by_bucket = [], lm._by_bucket
+
+    def seen(df):
+        most.append(max(r.n for r in df.where("kind <> 1").groupBy("bucket").agg(F.sum("n").alias("n")).collect()))
+        return by_bucket(df)
+
+    monkeypatch.setattr(lm, "_by_bucket", seen)
+    like(lm.score(llm.createDataFrame(lm_rows(1), "doc_id long, text string")).collect(), backed_off(lm_rows(1), 2))
+    assert len(most) == 2 and max(most) <= 4 * 32
+
+
 # 7 suffix arrays
 
 def test_suffix_array():
