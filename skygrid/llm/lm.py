@@ -1,9 +1,12 @@
 """Language-model scores: stupid backoff on the corpus itself, each document left out of its own counts.
 
-For a word w after v in document d, with counts over all other documents (count less the document's own):
+With the order 2, for a word w after v in document d, with counts over all other documents (count less the document's own):
 count(v w) / count(v as a context) when the pair occurs elsewhere, else 0.4 * count(w) / number of words elsewhere, where a word
-that occurs nowhere else counts one half. The first word of a document has the second form without the 0.4. A document's
-score is the sum of logarithms.
+that occurs nowhere else counts one half. With a higher order the longest n-gram of that many words comes first, and each word less
+costs another 0.4. Words near the start of a document begin with what context they have, without the 0.4. A document's
+score is the sum of logarithms; backed off are words that do not occur elsewhere after the longest context they have.
+
+Below, pairs stand for n-grams of whatever order.
 
 It is a join of every document's n-grams with tables of counts, both partitioned by hash. A document's distinct pairs, with their
 own counts, are dealt by their second word into buckets; a bucket holds all there is of its words and pairs, so counting and
@@ -46,14 +49,34 @@ BUCKET = 1 << 19
 HELD = 1 << 19
 _PACKED = "bucket int, kind int, n long, data binary"
 NAMES = ["bucket", "kind", "n", "data"]
-# Bytes of a packed pair: two hashes, the number of its row, three counts.
-WIDTH = 6 + 6 + 8 + 3 * 4
-
 
 def _pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return wd.mixed(v * wd._STEP + w) & _MASK
 
 
+def _gram(xs: list[np.ndarray]) -> np.ndarray:
+    out = xs[0]
+    for x in xs[1:]:
+        out = _pair(out, x)
+    return out
+
+
+def _windows(h: np.ndarray, row: np.ndarray, order: int) -> list[np.ndarray]:
+    """The last ``order`` words at every position, the word itself last; 0 before the start of a row."""
+    out = [h]
+    for back in range(1, order):
+        x = np.zeros_like(h)
+        x[back:] = np.where(row[back:] == row[:-back], h[:-back], np.uint64(0))
+        out.insert(0, x)
+    return out
+
+
+def _grams(xs: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
+    """(k, n-grams of the last k words, where there are so many, their contexts), k from 1; a word has no context."""
+    for k in range(1, len(xs) + 1):
+        yield k, _gram(xs[-k:]), xs[-k] > 0, _gram(xs[-k:-1]) if k > 1 else None
+
+
 def _six(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
@@ -76,20 +99,19 @@ def _own(row: np.ndarray, x: np.ndarray) -> np.ndarray:
     return n[back]
 
 
-def _grouped(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Counts of words and of pairs in 2 x 65,536 groups, and the number of words: of a fixed size, so collected."""
+def _grouped(docs: DataFrame, order: int) -> tuple[np.ndarray, int]:
+    """Counts of n-grams of each length in 65,536 groups, and the number of words: of a fixed size, so collected."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * GROUPS, np.int64)
+        total = np.zeros(order * GROUPS, np.int64)
         for batch in batches:
             for _, h, row in _words(batch.column(0)):
-                same = row[1:] == row[:-1]
-                total += np.bincount((h % np.uint64(GROUPS)).astype(np.int64), minlength=2 * GROUPS)
-                total += np.bincount((_pair(h[:-1], h[1:])[same] % np.uint64(GROUPS)).astype(np.int64) + GROUPS, minlength=2 * GROUPS)
+                for k, g, there, _ in _grams(_windows(h, row, order)):
+                    total[(k - 1) * GROUPS:k * GROUPS] += np.bincount((g[there] % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["g", "n"])
 
     rows = docs.select("text").mapInArrow(count, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(2 * GROUPS, np.int64)
+    out = np.zeros(order * GROUPS, np.int64)
     out[rows["g"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return out, int(out[:GROUPS].sum())
 
@@ -99,9 +121,9 @@ def _n_buckets(total: int, partitions: int) -> int:
     return max(4 * partitions, -(-total // BUCKET))
 
 
-def _frequent(docs: DataFrame, groups: np.ndarray, total: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Exact counts of frequent words (w) and pairs (p), 4,096 of each at most, and of contexts (v), 262,144 at most; more
-    only where a word of a smaller share would fill a bucket."""
+def _frequent(docs: DataFrame, groups: np.ndarray, total: int, order: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Exact counts of frequent n-grams of k words (k), 4,096 of each k at most, and of contexts of k words (-k), 262,144 at most;
+    more only where a word of a smaller share would fill a bucket."""
     share = max(SHARE, -(-total // BUCKET))
     contexts = max(CONTEXTS, share)
     hot, context = groups * share >= max(total, 1), groups * contexts >= max(total, 1)
@@ -112,25 +134,28 @@ def _frequent(docs: DataFrame, groups: np.ndarray, total: int) -> dict[str, tupl
         for batch in batches:
             kinds, keys, counts = [], [], []
             for _, h, row in _words(batch.column(0)):
-                same = row[1:] == row[:-1]
-                v, p = h[:-1][same], _pair(h[:-1], h[1:])[same]
-                for kind, x, base, wanted in (("w", h, 0, hot), ("v", v, 0, context), ("p", p, GROUPS, hot)):
-                    x = x[wanted[(x % np.uint64(GROUPS)).astype(np.int64) + base]]
+                wanted = []
+                for k, g, there, c in _grams(_windows(h, row, order)):
+                    wanted.append((k, g[there], k - 1, hot))
+                    if k > 1:
+                        wanted.append((1 - k, c[there], k - 2, context))
+                for kind, x, base, which in wanted:
+                    x = x[which[(x % np.uint64(GROUPS)).astype(np.int64) + base * GROUPS]]
                     k, n = np.unique(x, return_counts=True)
                     kinds += [kind] * len(k)
                     keys.append(k)
                     counts.append(n)
             if keys:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(kinds, pa.string()), pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(counts))], ["kind", "key", "n"])
+                    [pa.array(kinds, pa.int32()), pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(counts))], ["kind", "key", "n"])
 
-    counts = docs.select("text").mapInArrow(count, "kind string, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    counts = docs.select("text").mapInArrow(count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
     rows = written(counts, "lm-frequent")
     # A count of that share, which at most so many words, pairs or contexts can have.
-    limit = F.when(F.col("kind") == "v", -(-max(total, 1) // contexts)).otherwise(-(-max(total, 1) // share))
+    limit = F.when(F.col("kind") < 0, -(-max(total, 1) // contexts)).otherwise(-(-max(total, 1) // share))
     found = rows.where(F.col("n") >= limit).select("kind", "key", "n").toArrow().to_pandas()
     out = {}
-    for kind in "wvp":
+    for kind in (*range(1, order + 1), *range(-1, -order, -1)):
         part = found[found["kind"] == kind].sort_values("key")
         out[kind] = (part["key"].to_numpy(np.int64).view(np.uint64), part["n"].to_numpy(np.int64))
     return out
@@ -145,17 +170,42 @@ def _lookup(table: tuple[np.ndarray, np.ndarray], x: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == x, n[at], 0)
 
 
-class _Sums:
-    """Sums of logarithms and of words backed off, per document, added up in a task until they are many or the task ends."""
+def _dealt(often: dict, xs: list[np.ndarray]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+    """The n-grams with their frequent counts, what deals them out (the shortest that is not frequent), and where all are frequent."""
+    grams = [(k, g, there, c, _lookup(often[k], g)) for k, g, there, c in _grams(xs)]
+    key, all_known = grams[-1][1], np.ones(len(xs[0]), bool)
+    for _, g, there, _, f in reversed(grams):
+        lacks = there & (f == 0)
+        key, all_known = np.where(lacks, g, key), all_known & ~lacks
+    return grams, key, all_known
+
+
+def _chosen(often: dict, grams: list[tuple], counts: dict[int, np.ndarray], own_c: dict[int, np.ndarray]) -> tuple[np.ndarray, ...]:
+    """s without the number of all words, backed off, scored as a word alone, and context, its own count, and whether it is still to count.
+    ``counts`` are those elsewhere."""
+    s = np.log(np.maximum(counts[1], 0.5))
+    level, top = np.ones(len(s), np.int64), np.ones(len(s), np.int64)
+    context, own, more = np.zeros(len(s), np.uint64), np.zeros(len(s), np.int64), np.zeros(len(s), bool)
+    for k, _, there, c, _ in grams[1:]:
+        top[there] = k
+        have = there & (counts[k] > 0)
+        b = _lookup(often[1 - k], c)
+        s = np.where(have, np.log(np.maximum(counts[k], 1)) - np.where(b > 0, np.log(np.maximum(b - own_c[k], 1)), 0.0), s)
+        level[have], more = k, np.where(have, b == 0, more)
+        context, own = np.where(have, c, context), np.where(have, own_c[k], own)
+    return s + (top - level) * np.log(BACKOFF), (level < top).astype(np.int64), (level == 1).astype(np.int64), context, own, more
+
 
+class _Sums:
     def __init__(self):
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.parts: list[tuple[np.ndarray, ...]] = []
         self.rows = 0
 
-    def add(self, rid: np.ndarray, s: np.ndarray, backed: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Sums of the same document may come more than once; they go out when the different ones fill the memory set aside."""
+    def add(self, rid: np.ndarray, *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Sums of s, words backed off and words alone. Those of the same document may come more than once; they go out when
+        the different ones fill the memory set aside."""
         if len(rid):
-            self.parts.append((rid, s, backed))
+            self.parts.append((rid, *cols))
             self.rows += len(rid)
         if self.rows >= HELD:
             self.parts = [self.merged()]
@@ -163,17 +213,17 @@ class _Sums:
             if 2 * self.rows >= HELD:
                 yield from self.rest()
 
-    def merged(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        rid, s, b = (np.concatenate(x) for x in zip(*self.parts))
+    def merged(self) -> tuple[np.ndarray, ...]:
+        rid, *cols = (np.concatenate(x) for x in zip(*self.parts))
         ids, at = np.unique(rid, return_inverse=True)
-        return ids, np.bincount(at, s, len(ids)), np.bincount(at, b, len(ids))
+        return ids, *[np.bincount(at, x, len(ids)) for x in cols]
 
     def rest(self) -> Iterator[pa.RecordBatch]:
         """A row of kind -1."""
         if self.parts:
-            rid, s, n = self.merged()
+            rid, s, *n = self.merged()
             self.parts, self.rows = [], 0
-            data = rid.astype("<i8").tobytes() + s.astype("<f8").tobytes() + n.astype("<i8").tobytes()
+            data = rid.astype("<i8").tobytes() + s.astype("<f8").tobytes() + b"".join(x.astype("<i8").tobytes() for x in n)
             yield _batch([(0, -1, len(rid), pa.compress(data, "zstd", asbytes=True))])
 
 
@@ -182,23 +232,23 @@ def _planes(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
-def _row(bucket: int, kind: int, w, v, rid, m, mw, mv) -> tuple:
-    data = b"".join([_six(w), _six(v), rid.astype("<i8").tobytes(), *[_planes(x) for x in (m, mw, mv)]])
-    return bucket, kind, len(w), pa.compress(data, "zstd", asbytes=True)
+def _row(bucket: int, kind: int, hashes: list[np.ndarray], rid: np.ndarray, counts: list[np.ndarray]) -> tuple:
+    data = b"".join([*[_six(x) for x in hashes], rid.astype("<i8").tobytes(), *[_planes(x) for x in counts]])
+    return bucket, kind, len(rid), pa.compress(data, "zstd", asbytes=True)
 
 
 class _Held:
     """Pairs to deal out, gathered over batches: a task makes one packed row a bucket and HELD pairs, whatever it reads."""
 
-    def __init__(self, kind: int, n_buckets: int):
-        self.kind, self.n_buckets = kind, np.uint64(n_buckets)
+    def __init__(self, kind: int, n_buckets: int, n_hashes: int):
+        self.kind, self.n_buckets, self.n_hashes = kind, np.uint64(n_buckets), n_hashes
         self.parts: list[list[np.ndarray]] = []
         self.rows = 0
 
-    def add(self, key: np.ndarray, *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def add(self, key: np.ndarray, hashes: list[np.ndarray], rid: np.ndarray, counts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         """Pairs that go to the bucket of their key; those of a document lie together."""
         if len(key):
-            self.parts.append([(wd.mixed(key) % self.n_buckets).astype(np.int32), *cols[:3], *[c.astype(np.uint32) for c in cols[3:]]])
+            self.parts.append([(wd.mixed(key) % self.n_buckets).astype(np.int32), *hashes, rid, *[c.astype(np.uint32) for c in counts]])
             self.rows += len(key)
         if self.rows >= HELD:
             yield from self.rest()
@@ -209,7 +259,10 @@ class _Held:
             self.parts, self.rows = [], 0
             order = np.argsort(buckets, kind="stable")
             limits = np.flatnonzero(np.diff(buckets[order])) + 1
-            yield _batch([_row(int(buckets[part[0]]), self.kind, *[c[part] for c in cols]) for part in np.split(order, limits)])
+            n = self.n_hashes
+            yield _batch([
+                _row(int(buckets[part[0]]), self.kind, [c[part] for c in cols[:n]], cols[n][part], [c[part] for c in cols[n + 1:]])
+                for part in np.split(order, limits)])
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -217,14 +270,15 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int64(), pa.binary()))], NAMES)
 
 
-def _unpacked(rows: list[tuple[int, bytes]]) -> list[np.ndarray]:
-    """w, v, rid, m, mw, mv of packed rows, each in one array that is filled row by row."""
+def _unpacked(rows: list[tuple[int, bytes]], n_hashes: int, n_counts: int) -> list[np.ndarray]:
+    """Hashes, rid and counts of packed rows, each in one array that is filled row by row."""
     total, at = sum(n for n, _ in rows), 0
-    out = [np.empty(total, t) for t in (np.uint64, np.uint64, np.int64, np.uint32, np.uint32, np.uint32)]
+    out = [np.empty(total, t) for t in (*[np.uint64] * n_hashes, np.int64, *[np.uint32] * n_counts)]
     for n, data in rows:
-        x = np.frombuffer(pa.decompress(data, n * WIDTH, "zstd", asbytes=True), np.uint8)
-        counts = x[20 * n:].reshape(3, 4, n)
-        for to, part in zip(out, [_eight(x[:6 * n]), _eight(x[6 * n:12 * n]), x[12 * n:20 * n].view("<i8"), *[np.ascontiguousarray(c.T).view("<u4").ravel() for c in counts]]):
+        x = np.frombuffer(pa.decompress(data, n * (6 * n_hashes + 8 + 4 * n_counts), "zstd", asbytes=True), np.uint8)
+        hashes, rid, counts = np.split(x, [6 * n_hashes * n, (6 * n_hashes + 8) * n])
+        parts = [*map(_eight, hashes.reshape(n_hashes, -1)), rid.view("<i8")]
+        for to, part in zip(out, [*parts, *[np.ascontiguousarray(c.T).view("<u4").ravel() for c in counts.reshape(n_counts, 4, n)]]):
             to[at:at + n] = part
         at += n
     return out
@@ -249,106 +303,107 @@ def _by_bucket(df: DataFrame) -> DataFrame:
 
 
 def _sums_of(df: DataFrame) -> DataFrame:
-    """The rows of kind -1 as rid, s, n."""
+    """The rows of kind -1 as rid, s, n, alone."""
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n, data in zip(*(c.to_pylist() for c in batch.columns)):
-                x = pa.decompress(data, 24 * n, "zstd", asbytes=True)
+                x = pa.decompress(data, 32 * n, "zstd", asbytes=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(x, t, n, 8 * n * i)) for i, t in enumerate(("<i8", "<f8", "<i8"))], ["rid", "s", "n"])
+                    [pa.array(np.frombuffer(x, t, n, 8 * n * i)) for i, t in enumerate(("<i8", "<f8", "<i8", "<i8"))], ["rid", "s", "n", "alone"])
 
-    return df.where("kind = -1").select("n", "data").mapInArrow(unpack, "rid long, s double, n long")
+    return df.where("kind = -1").select("n", "data").mapInArrow(unpack, "rid long, s double, n long, alone long")
 
 
-def score(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_backed_off, log_score for every row of ``docs`` (doc_id, text)."""
+def score(docs: DataFrame, order: int = 2) -> DataFrame:
+    """doc_id, n_words, n_backed_off, log_score for every row of ``docs`` (doc_id, text); n-grams of up to ``order`` words."""
+    if order < 2:
+        raise ValueError("the order is 2 at least")
     spark = docs.sparkSession
     docs = docs.select("doc_id", whole_text().alias("text"), F.xxhash64("doc_id", "text").alias("rid"))
-    groups, total = _grouped(docs)
-    often = _frequent(docs, groups, total)
+    groups, total = _grouped(docs, order)
+    often = _frequent(docs, groups, total, order)
     shared = spark.sparkContext.broadcast(often)
     n_buckets = _n_buckets(total, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def read(batches: Iterator[pa.RecordBatch], pairs_only: bool) -> Iterator[pa.RecordBatch]:
         """The pairs to deal out (kind 0), or what is small beside them: contexts (1) and sums of what is scored here (-1)."""
-        often, sums, held = shared.value, _Sums(), _Held(0 if pairs_only else 1, n_buckets)
+        often, sums, held = shared.value, _Sums(), _Held(0, n_buckets, order) if pairs_only else _Held(1, n_buckets, 1)
         for batch in batches:
             rids = batch.column(1).to_numpy()
             for first, h, row in _words(batch.column(0)):
                 if not len(h):
                     continue
-                start = np.ones(len(h), bool)
-                start[1:] = row[1:] != row[:-1]
-                v = np.where(start, np.uint64(0), np.concatenate([[np.uint64(0)], h[:-1]]))
-                pair = wd.mixed(_pair(v, h) * wd._STEP + row.astype(np.uint64))
+                windows = _windows(h, row, order)
+                if not pairs_only:
+                    # Contexts of the batch with their counts, for the second dealing.
+                    for k, _, there, c in _grams(windows):
+                        if k > 1:
+                            c, n = np.unique(c[there], return_counts=True)
+                            seldom = _lookup(often[1 - k], c) == 0
+                            c, n = c[seldom], n[seldom]
+                            yield from held.add(c, [c], np.zeros(len(c), np.int64), [n])
+                pair = wd.mixed(_gram(windows) * wd._STEP + row.astype(np.uint64))
                 _, at, m = np.unique(pair, return_index=True, return_counts=True)
-                order = np.argsort(at)
-                at, m = at[order], m[order]
-                own_w, own_v = _own(row, h)[at], np.where(start, 0, _own(row, v))[at]
-                w, v, r = h[at], v[at], rids[first + row[at]]
-                p = _pair(v, w)
+                by_place = np.argsort(at)
+                at, m = at[by_place], m[by_place]
+                xs, r = [x[at] for x in windows], rids[first + row[at]]
+                grams, key, now = _dealt(often, xs)
                 # What has all its counts is scored here: frequent pairs, and frequent words at the start.
-                have = np.where(v > 0, _lookup(often["p"], p), 0)
-                b, u = _lookup(often["v"], v), _lookup(often["w"], w)
-                now = (u > 0) & ((v == 0) | (have > 0))
-                if now.any() and not pairs_only:
-                    pair = (have > m)[now]
-                    s = np.where(
-                        pair, np.log(np.maximum(have - m, 1)[now]) - np.log(np.maximum(b - own_v, 1)[now]), np.log(np.maximum(u - own_w, 0.5)[now]))
-                    yield from sums.add(r[now], m[now] * s, np.where(pair | (v[now] == 0), 0, m[now]))
-                if pairs_only:
-                    rest = ~now
-                    yield from held.add(np.where(u > 0, p, w)[rest], *[x[rest] for x in (w, v, r, m, own_w, own_v)])
+                wanted = np.flatnonzero(now != pairs_only)
+                if not len(wanted):
                     continue
-                # Contexts of the batch with their counts, for the second dealing.
-                c, n = np.unique(h[:-1][~start[1:]], return_counts=True)
-                seldom = _lookup(often["v"], c) == 0
-                c, n = c[seldom], n[seldom]
-                zero = np.zeros(len(c), np.int64)
-                yield from held.add(c, c, c, zero, n, zero, zero)
+                own_g, own_c = {order: m[wanted]}, {}
+                for k, g, there, c in _grams(windows):
+                    if k < order:
+                        own_g[k] = _own(row, g)[at][wanted]
+                    if k > 1:
+                        own_c[k] = np.where(there, _own(row, c), 0)[at][wanted]
+                m, r = m[wanted], r[wanted]
+                if pairs_only:
+                    counts = [own_g[k] for k in range(order, 0, -1)] + [own_c[k] for k in range(order, 1, -1)]
+                    yield from held.add(key[wanted], [x[wanted] for x in xs], r, counts)
+                else:
+                    grams = [(k, *[x if x is None else x[wanted] for x in rest]) for k, *rest in grams]
+                    s, back, alone, *_ = _chosen(often, grams, {k: f - own_g[k] for k, *_, f in grams}, own_c)
+                    yield from sums.add(r, m * s, m * back, m * alone)
         yield from held.rest()
         yield from sums.rest()
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, sums, held = shared.value, _Sums(), _Held(2, n_buckets)
+        often, sums, held = shared.value, _Sums(), _Held(2, n_buckets, 1)
         for kinds in _buckets(batches):
             # A part of the bucket at a time, by the key that dealt it.
-            cols = _unpacked(kinds.pop(0))
-            of = (wd.mixed(np.where(_lookup(often["w"], cols[0]) > 0, _pair(cols[1], cols[0]), cols[0])) >> np.uint64(61)).astype(np.uint8)
+            cols = _unpacked(kinds.pop(0), order, 2 * order - 1)
+            of = (wd.mixed(_dealt(often, cols[:order])[1]) >> np.uint64(61)).astype(np.uint8)
             for part in range(8):
-                yield from scored(often, sums, held, *[c[of == part] for c in cols])
+                yield from scored(often, sums, held, [c[of == part] for c in cols])
         yield from held.rest()
         yield from sums.rest()
 
-    def scored(often: dict, sums: _Sums, held: _Held, w, v, rid, m, mw, mv) -> Iterator[pa.RecordBatch]:
-        if len(w):
-            m, mw, mv = (x.astype(np.int64) for x in (m, mw, mv))
-            _, at = np.unique(_pair(v, w), return_inverse=True)
-            a = np.where(v > 0, np.bincount(at, m)[at].astype(np.int64) - m, 0)
-            _, at = np.unique(w, return_inverse=True)
-            known = _lookup(often["w"], w)
-            u = np.where(known > 0, known, np.bincount(at, m)[at].astype(np.int64)) - mw
-            b = _lookup(often["v"], v) - mv
-            pair = a > 0
-            done = pair & (_lookup(often["v"], v) > 0)
-            s = np.where(pair, np.log(np.maximum(a, 1)), np.log(np.maximum(u, 0.5))) - np.where(done, np.log(np.maximum(b, 1)), 0.0)
-            yield from sums.add(rid, m * s, np.where(pair | (v == 0), 0, m))
-            more = pair & ~done
-            v, rid, m, mv = (x[more] for x in (v, rid, m, mv))
-            yield from held.add(v, v, v, rid, m, np.zeros(len(v), np.int64), mv)
+    def scored(often: dict, sums: _Sums, held: _Held, cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        xs, rid, counts = cols[:order], cols[order], [x.astype(np.int64) for x in cols[order + 1:]]
+        if len(rid):
+            m, own_g = counts[0], dict(zip(range(order, 0, -1), counts))
+            own_c = dict(zip(range(order, 1, -1), counts[order:]))
+            grams, elsewhere = _dealt(often, xs)[0], {}
+            for k, g, there, _, f in grams:
+                _, at = np.unique(g, return_inverse=True)
+                elsewhere[k] = np.where(f > 0, f, np.bincount(at, m)[at].astype(np.int64)) - own_g[k]
+            s, back, alone, context, own, more = _chosen(often, grams, elsewhere, own_c)
+            yield from sums.add(rid, m * s, m * back, m * alone)
+            yield from held.add(context[more], [context[more]], rid[more], [m[more], own[more]])
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums()
         for kinds in _buckets(batches):
             if 2 not in kinds:
                 continue
-            c, _, _, n, _, _ = _unpacked(kinds[1])
-            n = n.astype(np.int64)
+            c, _, n = _unpacked(kinds[1], 1, 1)
             keys, at = np.unique(c, return_inverse=True)
-            _, v, rid, m, _, mv = _unpacked(kinds[2])
-            m, mv = m.astype(np.int64), mv.astype(np.int64)
-            b = _lookup((keys, np.bincount(at, n).astype(np.int64)), v) - mv
-            yield from sums.add(rid, -m * np.log(np.maximum(b, 1)), np.zeros(len(m)))
+            v, rid, m, own = _unpacked(kinds[2], 1, 2)
+            b = _lookup((keys, np.bincount(at, n.astype(np.int64)).astype(np.int64)), v) - own.astype(np.int64)
+            none = np.zeros(len(m))
+            yield from sums.add(rid, -m.astype(np.int64) * np.log(np.maximum(b, 1)), none, none)
         yield from sums.rest()
 
     # The pairs are as large as the corpus: they are moved once and never written.
@@ -356,13 +411,13 @@ def score(docs: DataFrame) -> DataFrame:
     second = written(_by_bucket(dealt).mapInArrow(pairs, _PACKED), "lm-pairs")
     first = written(docs.select("text", "rid").mapInArrow(lambda b: read(b, False), _PACKED), "lm-contexts")
     third = _by_bucket(first.where("kind = 1").unionByName(second.where("kind = 2"))).mapInArrow(contexts, _PACKED)
-    sums = _sums_of(first).unionByName(_sums_of(second)).unionByName(_sums_of(third)).groupBy("rid").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    sums = _sums_of(first).unionByName(_sums_of(second)).unionByName(_sums_of(third)).groupBy("rid").agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("alone").alias("alone"))
     # Rows that are the same share a number; each has its part of the sums.
     sized = docs.select("doc_id", "rid", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"))
     alike = sized.groupBy("rid").agg(F.count(F.lit(1)).alias("k"))
     joined = sized.join(sums, "rid", "left").join(alike, "rid")
-    backed = F.coalesce(F.round(F.col("n") / F.col("k")), F.lit(0)).cast("long")
+    backed, alone = (F.coalesce(F.round(F.col(c) / F.col("k")), F.lit(0)).cast("long") for c in ("n", "alone"))
     rest = F.log(F.greatest(F.lit(total) - F.col("n_words"), F.lit(1)).cast("double"))
-    value = F.coalesce(F.col("s") / F.col("k"), F.lit(0.0)) + backed * F.log(F.lit(BACKOFF)) - (backed + 1) * rest
+    value = F.coalesce(F.col("s") / F.col("k"), F.lit(0.0)) - alone * rest
     return joined.select(
         "doc_id", "n_words", backed.alias("n_backed_off"), F.when(F.col("n_words") > 0, value).otherwise(0.0).alias("log_score"))

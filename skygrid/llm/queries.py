@@ -41,6 +41,10 @@ def op6_lm_score(spark: SparkSession, sf: str) -> DataFrame:
     return lm.score(table(spark, sf, "documents")).withColumn("log_score", F.round("log_score", 4))
 
 
+def op6_lm_trigrams(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score(table(spark, sf, "documents"), order=3).withColumn("log_score", F.round("log_score", 4))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     done = suffix.remove_repeats(table(spark, sf, "documents"), lambda rest: F.sha2(rest, 256))
     return done.withColumnRenamed("rest", "kept_sha256")
@@ -66,6 +70,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_lm_score": op6_lm_score,
+    "op6_lm_trigrams": op6_lm_trigrams,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_personal_data": op9_personal_data,
@@ -113,6 +118,42 @@ select t.doc_id, cast(len(t.ws) as bigint) as n_words, cast(coalesce(sum(case wh
 from t left join s on s.doc_id = t.doc_id group by t.doc_id, t.ws
 """
 
+_LM_TRIGRAMS = r"""
+with t as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
+p as (select doc_id, len(ws) as n, unnest(range(1, len(ws) + 1)) as i, ws from t),
+w as (select doc_id, n, i, ws[i] as w, case when i > 1 then ws[i - 1] end as v, case when i > 2 then ws[i - 2] end as u from p),
+c3 as (select u, v, w, count(*) as c from w where u is not null group by all),
+m3 as (select doc_id, u, v, w, count(*) as m from w where u is not null group by all),
+c2 as (select v, w, count(*) as c from w where v is not null group by all),
+m2 as (select doc_id, v, w, count(*) as m from w where v is not null group by all),
+c1 as (select w, count(*) as c from w group by all),
+m1 as (select doc_id, w, count(*) as m from w group by all),
+h2 as (select u, v, count(*) as c from w where u is not null group by all),
+k2 as (select doc_id, u, v, count(*) as m from w where u is not null group by all),
+h1 as (select v, count(*) as c from w where v is not null group by all),
+k1 as (select doc_id, v, count(*) as m from w where v is not null group by all),
+n as (select count(*) as total from w),
+a as (
+  select w.doc_id, w.n, total, w.u is not null as has_u, w.v is not null as has_v, coalesce(c3.c - m3.m, 0) as a3, coalesce(c2.c - m2.m, 0) as a2,
+    c1.c - m1.m as a1, h2.c - k2.m as b2, h1.c - k1.m as b1
+  from w cross join n join c1 on c1.w = w.w join m1 on m1.w = w.w and m1.doc_id = w.doc_id
+  left join c3 on c3.u = w.u and c3.v = w.v and c3.w = w.w left join m3 on m3.u = w.u and m3.v = w.v and m3.w = w.w and m3.doc_id = w.doc_id
+  left join c2 on c2.v = w.v and c2.w = w.w left join m2 on m2.v = w.v and m2.w = w.w and m2.doc_id = w.doc_id
+  left join h2 on h2.u = w.u and h2.v = w.v left join k2 on k2.u = w.u and k2.v = w.v and k2.doc_id = w.doc_id
+  left join h1 on h1.v = w.v left join k1 on k1.v = w.v and k1.doc_id = w.doc_id),
+s as (
+  select doc_id, case when has_u then a3 = 0 else has_v and a2 = 0 end as backed,
+    case when a3 > 0 then ln(cast(a3 as double)) - ln(cast(b2 as double))
+      when a2 > 0 then ln(cast(a2 as double)) - ln(cast(b1 as double)) + case when has_u then ln(4e-1) else 0e0 end
+      else ln(greatest(a1, 5e-1)) - ln(cast(greatest(total - n, 1) as double)) + ln(4e-1) * (case when has_u then 2 when has_v then 1 else 0 end) end as x
+  from a)
+select t.doc_id, cast(len(t.ws) as bigint) as n_words, cast(coalesce(sum(case when backed then 1 else 0 end), 0) as bigint) as n_backed_off,
+  round(coalesce(sum(x), 0e0), 4) as log_score
+from t left join s on s.doc_id = t.doc_id group by t.doc_id, t.ws
+"""
+
 
 def _licences() -> str:
     def quoted(text: str) -> str:
@@ -149,5 +190,6 @@ SQL = {
     "op2_jaccard_join": _JACCARD,
     "op3_licence_scan": _licences(),
     "op6_lm_score": _LM,
+    "op6_lm_trigrams": _LM_TRIGRAMS,
     "op10_exact_dedup": _EXACT,
 }

@@ -347,6 +347,13 @@ def test_buckets_follow_the_corpus(llm, monkeypatch):
     assert len(most) == 2 and max(most) <= 4 * 32
 
 
+def test_trigrams_back_off_to_pairs_and_words(llm, none, monkeypatch):
+    for name, value in (("BUCKET", 32), ("SHARE", 16), ("CONTEXTS", 16)):
+        monkeypatch.setattr(lm, name, value)
+    like(lm.score(llm.createDataFrame(lm_rows(2), "doc_id long, text string"), order=3).collect(), backed_off(lm_rows(2), 3))
+    assert lm.score(none, order=3).collect() == []
+
+
 # 7 suffix arrays
 
 def test_suffix_array():
