@@ -1,7 +1,7 @@
 """Licence scans by canonical digest.
 
-A text is brought to one canonical form: capitals, punctuation, copyright lines and spellings that mean the same
-do not count. Entire texts are then looked up by the digest of that form in a table of known licences: the whole
+A text is brought to one canonical form: capitals, punctuation, titles, copyright lines and spellings that mean the same
+do not count. Titles, and copyright lines that name no year, count only as the first lines of a text. Entire texts are then looked up by the digest of that form in a table of known licences: the whole
 document, and each of its lines, as notices are often a line of their own. The lookup is an equi-join with the known
 digests, on each document's distinct digests only.
 
@@ -11,13 +11,16 @@ repeated rows each get their result; an empty table gives an empty result. Other
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skygrid.llm.common import whole_text
 
-# Texts of public licences and the usual notices of them.
+# Texts of public licences and the usual notices of them; the longer texts are in a file, read by the driver.
+TEXTS = Path(__file__).with_name("licence_texts.json")
 KNOWN = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "This project is licensed under the MIT License."),
@@ -44,20 +47,27 @@ KNOWN = (
      "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
      "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
      "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    *((i, t) for i, t in json.loads(TEXTS.read_text(encoding="utf8"))),
 )
 # Spellings that count as one, left by right; words of the canonical form.
 SPELLINGS = (
     ("licence", "license"), ("licenced", "licensed"), ("sublicence", "sublicense"), ("non commercial", "noncommercial"),
     ("acknowledgement", "acknowledgment"), ("favour", "favor"), ("fulfil", "fulfill"), ("judgement", "judgment"),
     ("organisation", "organization"), ("per cent", "percent"), ("copyright owner", "copyright holder"), ("https", "http"),
+    # The same where a line ends between the words.
+    ("non \n commercial", "noncommercial \n"), ("per \n cent", "percent \n"), ("copyright \n owner", "copyright \n holder"),
 )
-# A line of the canonical form that only says who holds the rights.
-COPYRIGHT = r"(?m)^ (copyright|c) (c )?[0-9]{4} .*$|^ all rights reserved $"
+# Lines of the canonical form that only say which licence follows, or who holds the rights; titles that belong to the text stay.
+TITLE = (
+    r"(?:the )?(?:mit|expat|isc|zlib|(?:new |revised |modified |simplified )?bsd|bsd [23] clause|[23] clause bsd)"
+    r" license(?: (?:mit|expat|isc|zlib))?(?: version [0-9](?: [0-9])?)?")
+_HEAD = rf"\A(?:(?: {TITLE} | copyright(?: [a-z0-9]+){{1,12}} | (?:copyright|c) (?:c )?[0-9]{{4}} .*| all rights reserved | ?)\n){{1,40}}"
+COPYRIGHT = rf"(?m){_HEAD}|^ (copyright|c) (c )?[0-9]{{4}} .*$|^ copyright c .*$|^ all rights reserved $"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def canonical(text: Column) -> Column:
-    """Lines of words in lower case, a single space round each word; copyright lines are left empty."""
+    """Lines of words in lower case, a single space round each word; copyright lines are left empty, titles too."""
     c = F.regexp_replace(F.translate(text, _UPPER, _LOWER), r"[^a-z0-9\n]+", " ")
     c = F.regexp_replace(F.concat(F.lit(" "), F.replace(c, F.lit("\n"), F.lit(" \n ")), F.lit(" ")), " +", " ")
     for other, one in SPELLINGS:

@@ -6,7 +6,9 @@ import math
 import random
 import re
 import struct
+import textwrap
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -202,6 +204,26 @@ def test_licences(llm, odd, none):
     assert licences.scan(odd).where("n_notices = 0 and whole is null").count() == len(ODD) and licences.scan(none).collect() == []
 
 
+def test_licence_texts(llm):
+    """Whole texts in their usual forms: titled, wrapped, with copyright lines that name no year; SQL agrees."""
+    mit, isc, apache = licences.KNOWN[9][1], licences.KNOWN[8][1], next(t for i, t in licences.KNOWN if i == "Apache-2.0" and len(t) > 5000)
+    rows = [
+        ("MIT", "MIT License\n\nCopyright (c) 2020 Jane Doe\n\n" + textwrap.fill(mit, 78)), ("MIT", "The MIT License (MIT)\n\nCopyright Jane Doe\n\n" + textwrap.fill(mit, 60)),
+        ("MIT", "Copyright (c) The Authors\n" + mit), ("ISC", "ISC License\n\nCopyright (c) 2004 A, B\nCopyright The Others\n\n" + textwrap.fill(isc, 70)),
+        ("Apache-2.0", textwrap.fill(apache, 100)), (None, "MIT License\n" + mit + " And more."), (None, "Copyright Jane Doe\n\n"), (None, "\n" * 5000),
+        (None, mit.replace("free of charge", "for a fee")),
+    ]
+    rows += [(i, f"\n{t.upper()}\n") for i, t in licences.KNOWN if len(t) > 500]
+    assert {"BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "Unlicense", "Zlib", "BSL-1.0", "MPL-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-3.0-only", "CC0-1.0"} <= {i for i, _ in rows}
+    docs = [(k, t) for k, (_, t) in enumerate(rows)]
+    got = sorted(tuple(r) for r in licences.scan(llm.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert [(g[0], g[1]) for g in got] == [(k, i) for k, (i, _) in enumerate(rows)]
+    db = duckdb.connect()
+    db.execute("create table documents (doc_id bigint, text varchar)")
+    db.executemany("insert into documents values (?, ?)", docs)
+    assert sorted(db.execute(queries.SQL["op3_licence_scan"]).fetchall()) == got
+
+
 # 4 BPE
 
 def library():
