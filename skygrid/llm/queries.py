@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skygrid.llm import bpe, exact, jaccard, licences, lm, mixing, pii, pq, quality, suffix
+from skygrid.llm import align, bpe, decontaminate, exact, jaccard, licences, lm, mixing, periodic, pii, pq, quality, suffix
 from skygrid.llm.common import table
 
 
@@ -63,6 +63,34 @@ def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact.groups(table(spark, sf, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    files = []
+    for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"):
+        with open(public_tokenizers.path(name), "rb") as f:
+            files.append(f.read())
+    return align.align(table(spark, sf, "documents"), *files)
+
+
+def op12_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.scan(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = periodic.collapse(table(spark, sf, "documents"), periodic.one_in_ten)
+    # The longest run; of those the leftmost, then the one of smaller period.
+    first = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n")
+    return found.withColumn("_first", first).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_first.start")).alias("start"), F.col("_first.length").alias("length"),
+        (-F.col("_first.period")).alias("period"), F.expr("1000 * _first.length div -_first.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_jaccard_join": op2_jaccard_join,
@@ -75,6 +103,9 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_personal_data": op9_personal_data,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_benchmark_decontamination": op12_benchmark_decontamination,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 # Word shingles of lower-cased texts; links are joined to the smallest doc_id reachable.
@@ -186,10 +217,31 @@ select doc_id, min(doc_id) over (partition by s) as keep_id, count(*) over (part
   doc_id = min(doc_id) over (partition by s) as kept, sha256(s) as text_sha256 from d
 """
 
+# Windows of ten words, or the whole of a shorter item, met at every place of every document.
+_LEAKS = r"""
+with d as (
+  select row_number() over () as r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from documents),
+b as (
+  select coalesce(cast(item_id as varchar), '') as item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from benchmark),
+g as (select item_id, w, least(10, len(w)) as n, unnest(range(1, len(w) - least(10, len(w)) + 2)) as i from b where len(w) > 0),
+q as (select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as s from g),
+l as (select distinct n from q),
+p as (select r, w, n, unnest(range(1, len(w) - n + 2)) as i from d join l on n <= len(w)),
+h as (select r, i, p.n, item_id from p join q on q.n = p.n and q.s = array_to_string(w[i:i + p.n - 1], ' ')),
+k as (select r, count(*) as n_hit from (select distinct r, unnest(range(i, i + n)) as at from h) group by r),
+m as (select r, count(*) as n_items, string_agg(item_id, ',' order by item_id) as items from (select distinct r, item_id from h) group by r)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+  n_hit is not null as contaminated
+from d left join k on k.r = d.r left join m on m.r = d.r
+"""
+
 SQL = {
     "op2_jaccard_join": _JACCARD,
     "op3_licence_scan": _licences(),
     "op6_lm_score": _LM,
     "op6_lm_trigrams": _LM_TRIGRAMS,
     "op10_exact_dedup": _EXACT,
+    "op12_benchmark_decontamination": _LEAKS,
 }

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries()) and set(queries.SQL) <= set(entry.oracle_sql())
 
 
