@@ -50,7 +50,9 @@ def brute_alignment(docs, files):
             parts_b = [bytes([int(p[3:5], 16)]) if b_tok.is_byte(i) else p.replace("▁", " ").encode() for i, p in ((i, b_tok.id_to_piece(i)) for i in b)]
             if b"".join(parts_a) == want == b"".join(parts_b):
                 assert decoder.decode(a.tokens) == " " + text
-                n_a, n_b = len(a.ids), len(b)
+                # The property makes a new list each time.
+                ids = a.ids
+                n_a, n_b = len(ids), len(b)
                 end_b, at = {}, 0
                 for k, p in enumerate(parts_b):
                     at += len(p)
@@ -59,8 +61,8 @@ def brute_alignment(docs, files):
                 for k, p in enumerate(parts_a):
                     at += len(p)
                     if at in end_b:
-                        links.append((a.ids[k], b[end_b[at]]))
-                        groups.append(",".join(map(str, a.ids[i:k + 1])) + "|" + ",".join(map(str, b[j:end_b[at] + 1])))
+                        links.append((ids[k], b[end_b[at]]))
+                        groups.append(",".join(map(str, ids[i:k + 1])) + "|" + ",".join(map(str, b[j:end_b[at] + 1])))
                         i, j = k + 1, end_b[at] + 1
         count.update(links)
         rows.append((doc_id, n_a, n_b, links, ";".join(groups)))
@@ -143,7 +145,7 @@ def leaks(df):
     return ordered((r.doc_id, r.n_words, r.n_hit, r["items"], r.contaminated) for r in df.collect())
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", [1, 2])
 def test_leaks(llm, monkeypatch, seed):
     rng = random.Random(seed)
     if seed % 2:
