@@ -22,6 +22,8 @@ proportion to the longest one.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,21 +34,31 @@ from skygrid.llm.common import whole_text, written
 
 PIECE = 1 << 16
 OFTEN = 1 << 18
-# Letters that are tokenized in one call.
-CALL = 1 << 20
+# Letters of parts whose ids a task keeps.
+HELD = 1 << 24
 # Different pairs that a task counts before it hands them on.
 COUNTED = 1 << 20
 BLANK = "▁"
+# Fixed value, the public pattern by which byte-level tokenizers cut a text.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Letters of Latin, Cyrillic and Chinese scripts, signs and blanks whose kind is the same in every edition of Unicode.
+PLAIN = r"[\t\n\r\x20-\x7E\xA1-\xAC\xAE-\u021F\u0410-\u044F\u2010-\u2027\u20AC\u4E00-\u9FA5]*"
 
 
 class Tokens:
-    """The two tokenizers in a task: ids of texts, and the bytes of every id."""
+    """The two tokenizers in a task: ids of texts, and the bytes of every id.
+
+    Neither merges over the borders of its parts (the pattern's matches for A; for B where blanks begin, if no piece has a blank after
+    another letter), so ids of parts met before are kept, in bounded memory. A text with letters on which Unicode's
+    editions may differ is cut whole by A, and one with a part that B does not give back byte for byte is cut whole by B.
+    """
 
     def __init__(self, byte_level: bytes, piece_model: bytes):
         import os
 
         # One thread a task; Spark deals out the texts.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -59,36 +71,68 @@ class Tokens:
         for i, name in names.items():
             # A name with other letters is a special token's, which no text is cut into.
             self.bytes_a[i] = bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode()
-        self.bytes_b = []
-        for i in range(self.b.get_piece_size()):
-            name = self.b.id_to_piece(i)
-            self.bytes_b.append(bytes([int(name[3:-1], 16)]) if self.b.is_byte(i) else name.replace(BLANK, " ").encode())
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array([len(w) for w in ws], np.int64) for ws in (self.bytes_a, self.bytes_b))
+        self.split = regex.compile(BYTE_LEVEL).findall
+        self.plain = re.compile(PLAIN).fullmatch
+        # The tokenizer's file must say that it cuts by that pattern and adds no space itself.
+        asked = json.loads(byte_level)
+        cutter = asked.get("pre_tokenizer") or {}
+        self.parts_a = asked.get("normalizer") is None and cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space", True)
+        self.parts_b = all(BLANK not in p.lstrip(BLANK) for p in pieces)
+        self.known_a: dict[str, bytes | None] = {}
+        self.known_b: dict[str, bytes | None] = {}
+        self.held = 0
+
+    def _packed(self, ids: list[int], words: list[bytes], want: str) -> bytes | None:
+        """Ids as 32-bit numbers, or none where their bytes are not the text."""
+        return np.array(ids, np.int32).tobytes() if b"".join(map(words.__getitem__, ids)) == want.encode() else None
+
+    def _learn(self, known: dict[str, bytes | None], parts: list[str]) -> None:
+        new = [p for p in set(parts) if p not in known]
+        self.held += sum(map(len, new)) + 16 * len(new)
+        if self.held > HELD:
+            self.known_a.clear()
+            self.known_b.clear()
+            self.held = 0
+            new = list(set(parts))
+        if known is self.known_a:
+            for p, cut in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False)):
+                known[p] = self._packed(cut.ids, self.bytes_a, p)
+        else:
+            for p, ids in zip(new, self.b.encode(new, num_threads=1)):
+                known[p] = self._packed(ids, self.bytes_b, " " + p)
+
+    def _joined(self, known: dict[str, bytes | None], parts: list[str]) -> bytes | None:
+        try:
+            found = list(map(known.__getitem__, parts))
+        except KeyError:
+            self._learn(known, parts)
+            found = list(map(known.__getitem__, parts))
+        return None if None in found else b"".join(found)
+
+    def _ids_a(self, full: str) -> bytes | None:
+        if self.parts_a and self.plain(full):
+            return self._joined(self.known_a, self.split(full))
+        return self._packed(self.a.encode_batch_fast([full], add_special_tokens=False)[0].ids, self.bytes_a, full)
+
+    def _ids_b(self, full: str) -> bytes | None:
+        if self.parts_b:
+            # Parts without their first blank, which the model adds.
+            parts = [p[1:] for p in re.findall(" +[^ ]*", full)] if "  " in full else full[1:].split(" ")
+            found = self._joined(self.known_b, parts)
+            if found is not None:
+                return found
+        return self._packed(self.b.encode(full[1:]), self.bytes_b, full)
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of both for every text; none where the tokens are not the text."""
-        at = 0
-        while at < len(texts):
-            to, size = at + 1, len(texts[at])
-            while to < len(texts) and size + len(texts[to]) <= CALL:
-                size += len(texts[to])
-                to += 1
-            yield from self._encode(texts[at:to])
-            at = to
-
-    def _encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        none = np.zeros(0, np.int64)
-        full = [t for t in texts if t]
-        cut_a = iter(self.a.encode_batch_fast([" " + t for t in full], add_special_tokens=False))
-        cut_b = iter(self.b.encode(full, num_threads=1) if full else ())
+        none = np.zeros(0, np.int32)
         for t in texts:
-            if not t:
-                yield none, none
-                continue
-            a, b = next(cut_a).ids, next(cut_b)
-            want = (" " + t).encode()
-            same = b"".join(map(self.bytes_a.__getitem__, a)) == want and b"".join(map(self.bytes_b.__getitem__, b)) == want
-            yield (np.array(a, np.int64), np.array(b, np.int64)) if same else (none, none)
+            a = self._ids_a(" " + t) if t else None
+            b = self._ids_b(" " + t) if a is not None else None
+            yield (none, none) if b is None else (np.frombuffer(a, np.int32), np.frombuffer(b, np.int32))
 
 
 def _byte_letters() -> dict[str, int]:
@@ -119,17 +163,26 @@ def cuts(a: np.ndarray, b: np.ndarray, piece: int) -> list[tuple[int, int]]:
     return list(dict.fromkeys([(0, 0), *inner, (len(a), len(b))]))
 
 
+def met(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every end of A the token of B that holds it, and whether that ends there too.
+
+    At a piece's border the token may reach over it, and then has the number after the piece's last.
+    """
+    of_b = np.searchsorted(b, a)
+    both = of_b < len(b)
+    both[both] = a[both] == b[of_b[both]]
+    return of_b, both
+
+
 def overlaps(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token of A, token of B, whether both end there) at every step of the merge of ends, numbered inside the piece.
 
-    The bytes before each different end belong to one token of either list; at a piece's border the token may reach
-    over it, and then has the number after the piece's last.
+    The bytes before each different end belong to one token of either list.
     """
-    ends = np.union1d(a, b)
-    of_a, of_b = np.searchsorted(a, ends), np.searchsorted(b, ends)
-    both = (of_a < len(a)) & (of_b < len(b))
-    both[both] = a[of_a[both]] == b[of_b[both]]
-    return of_a, of_b, both
+    of_b, both = met(a, b)
+    of_a, same = met(b, a)
+    rest = np.flatnonzero(~same)
+    return np.append(np.arange(len(a)), of_a[rest]), np.append(of_b, rest), np.append(both, np.zeros(len(rest), bool))
 
 
 class Digits:
@@ -199,9 +252,11 @@ class Part:
 
     def __init__(self, a: np.ndarray, b: np.ndarray, shift: int, size_a: np.ndarray, size_b: np.ndarray):
         end_a, end_b = np.cumsum(size_a[a]) + shift, np.cumsum(size_b[b])
-        of_a, of_b, both = overlaps(end_a, end_b)
-        self.n_overlaps = len(of_a)
-        self.cut_a, self.cut_b = of_a[both] + 1, of_b[both] + 1
+        of_b, both = met(end_a, end_b)
+        self.cut_a = np.flatnonzero(both) + 1
+        self.cut_b = of_b[both] + 1
+        # Every end is a step; those that both lists share are one.
+        self.n_overlaps = len(a) + len(b) - len(self.cut_a)
         self.a, self.b = a, b
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
