@@ -28,9 +28,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from skygrid.llm import words as wd
 from skygrid.llm.common import whole_text, written
+from skygrid.sources.folders import new_folder
 
 WINDOW = 10
-SHARD = 1 << 18
+SHARD = 1 << 17
+# A reader holds a row group at a time, a writer one per task.
+ROW_GROUP_BYTES = 16 << 20
 BLOCK = 1 << 19
 # Letters A-Z become small; every ASCII byte but digits and letters parts words.
 FOLD = np.full(256, 32, np.uint8)
@@ -112,8 +115,11 @@ def suffix_arrays(docs: DataFrame) -> DataFrame:
             yield _shard(rids, ids, texts)
 
     picked = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), "text")
-    return written(picked.mapInArrow(
-        run, "rids array<long>, doc_ids array<long>, sizes array<long>, seen binary, words binary, suffixes binary"), "suffix-arrays")
+    shards = picked.mapInArrow(
+        run, "rids array<long>, doc_ids array<long>, sizes array<long>, seen binary, words binary, suffixes binary")
+    path = new_folder(docs.sparkSession, "suffix-arrays")
+    shards.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    return docs.sparkSession.read.schema(shards.schema).parquet(path)
 
 
 class Queries:
