@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,8 @@ from skygrid.llm.common import whole_text, written
 
 PIECE = 1 << 16
 OFTEN = 1 << 18
+# Letters that are tokenized in one call.
+CALL = 1 << 21
 # Letters of parts whose ids a task keeps.
 HELD = 1 << 24
 # Different pairs that a task counts before it hands them on.
@@ -87,16 +90,20 @@ class Tokens:
 
     def _packed(self, ids: list[int], words: list[bytes], want: str) -> bytes | None:
         """Ids as 32-bit numbers, or none where their bytes are not the text."""
-        return np.array(ids, np.int32).tobytes() if b"".join(map(words.__getitem__, ids)) == want.encode() else None
+        return array("i", ids).tobytes() if b"".join(map(words.__getitem__, ids)) == want.encode() else None
 
-    def _learn(self, known: dict[str, bytes | None], parts: list[str]) -> None:
-        new = [p for p in set(parts) if p not in known]
+    def _learn(self, known: dict[str, bytes | None], texts: list[list[str]]) -> None:
+        """Ids of all parts of the texts, in one call."""
+        parts = set().union(*texts)
+        new = list(parts.difference(known))
         self.held += sum(map(len, new)) + 16 * len(new)
         if self.held > HELD:
             self.known_a.clear()
             self.known_b.clear()
-            self.held = 0
-            new = list(set(parts))
+            new = list(parts)
+            self.held = sum(map(len, new)) + 16 * len(new)
+        if not new:
+            return
         if known is self.known_a:
             for p, cut in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False)):
                 known[p] = self._packed(cut.ids, self.bytes_a, p)
@@ -104,35 +111,40 @@ class Tokens:
             for p, ids in zip(new, self.b.encode(new, num_threads=1)):
                 known[p] = self._packed(ids, self.bytes_b, " " + p)
 
-    def _joined(self, known: dict[str, bytes | None], parts: list[str]) -> bytes | None:
-        try:
-            found = list(map(known.__getitem__, parts))
-        except KeyError:
-            self._learn(known, parts)
-            found = list(map(known.__getitem__, parts))
-        return None if None in found else b"".join(found)
-
-    def _ids_a(self, full: str) -> bytes | None:
-        if self.parts_a and self.plain(full):
-            return self._joined(self.known_a, self.split(full))
-        return self._packed(self.a.encode_batch_fast([full], add_special_tokens=False)[0].ids, self.bytes_a, full)
-
-    def _ids_b(self, full: str) -> bytes | None:
-        if self.parts_b:
-            # Parts without their first blank, which the model adds.
-            parts = [p[1:] for p in re.findall(" +[^ ]*", full)] if "  " in full else full[1:].split(" ")
-            found = self._joined(self.known_b, parts)
-            if found is not None:
-                return found
-        return self._packed(self.b.encode(full[1:]), self.bytes_b, full)
+    def _ids_a(self, texts: list[str]) -> list[bytes | None]:
+        parts = [self.split(t) if self.parts_a and self.plain(t) else None for t in texts]
+        self._learn(self.known_a, [p for p in parts if p])
+        return [
+            self._packed(self.a.encode_batch_fast([t], add_special_tokens=False)[0].ids, self.bytes_a, t) if p is None else _joined(self.known_a, p)
+            for t, p in zip(texts, parts)]
+
+    def _ids_b(self, texts: list[str]) -> list[bytes | None]:
+        # Parts without their first blank, which the model adds.
+        parts = [([p[1:] for p in re.findall(" +[^ ]*", t)] if "  " in t else t[1:].split(" ")) if self.parts_b else None for t in texts]
+        self._learn(self.known_b, [p for p in parts if p])
+        found = [p and _joined(self.known_b, p) for p in parts]
+        return [self._packed(self.b.encode(t[1:]), self.bytes_b, t) if ids is None else ids for t, ids in zip(texts, found)]
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of both for every text; none where the tokens are not the text."""
         none = np.zeros(0, np.int32)
-        for t in texts:
-            a = self._ids_a(" " + t) if t else None
-            b = self._ids_b(" " + t) if a is not None else None
-            yield (none, none) if b is None else (np.frombuffer(a, np.int32), np.frombuffer(b, np.int32))
+        at = 0
+        while at < len(texts):
+            to, size = at + 1, len(texts[at])
+            while to < len(texts) and size + len(texts[to]) <= CALL:
+                size += len(texts[to])
+                to += 1
+            full = [" " + t for t in texts[at:to] if t]
+            cut = zip(self._ids_a(full), self._ids_b(full))
+            for t in texts[at:to]:
+                a, b = next(cut) if t else (None, None)
+                yield (none, none) if a is None or b is None else (np.frombuffer(a, np.int32), np.frombuffer(b, np.int32))
+            at = to
+
+
+def _joined(known: dict[str, bytes | None], parts: list[str]) -> bytes | None:
+    found = list(map(known.__getitem__, parts))
+    return None if None in found else b"".join(found)
 
 
 def _byte_letters() -> dict[str, int]:
