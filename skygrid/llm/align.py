@@ -24,7 +24,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,10 +34,6 @@ from skygrid.llm.common import whole_text, written
 
 PIECE = 1 << 16
 OFTEN = 1 << 18
-# Letters that are tokenized in one call.
-CALL = 1 << 21
-# Letters of parts whose ids a task keeps.
-HELD = 1 << 24
 # Different pairs that a task counts before it hands them on.
 COUNTED = 1 << 20
 BLANK = "▁"
@@ -51,18 +46,17 @@ PLAIN = r"[\t\n\r\x20-\x7E\xA1-\xAC\xAE-\u021F\u0410-\u044F\u2010-\u2027\u20AC\u
 class Tokens:
     """The two tokenizers in a task: ids of texts, and the bytes of every id.
 
-    Neither merges over the borders of its parts (the pattern's matches for A; for B where blanks begin, if no piece has a blank after
-    another letter), so ids of parts met before are kept, in bounded memory. A text with letters on which Unicode's
-    editions may differ is cut whole by A, and one with a part that B does not give back byte for byte is cut whole by B.
+    Byte-level texts are cut by a merger that knows only ranks, if the file's merges allow (``by_rank``). A text with letters on which
+    editions of Unicode may differ is left to the file's own tokenizer.
     """
 
-    def __init__(self, byte_level: bytes, piece_model: bytes):
+    def __init__(self, byte_level: bytes, piece_model: bytes, by_rank: bool = False):
         import os
 
         # One thread a task; Spark deals out the texts.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_str(byte_level.decode())
@@ -71,80 +65,66 @@ class Tokens:
         letters = _byte_letters()
         names = {i: t for t, i in self.a.get_vocab().items()}
         self.bytes_a = [b""] * (max(names) + 1)
+        plain = {}
         for i, name in names.items():
             # A name with other letters is a special token's, which no text is cut into.
-            self.bytes_a[i] = bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode()
+            if all(c in letters for c in name):
+                self.bytes_a[i] = bytes(letters[c] for c in name)
+                plain[self.bytes_a[i]] = i
+            else:
+                self.bytes_a[i] = name.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array([len(w) for w in ws], np.int64) for ws in (self.bytes_a, self.bytes_b))
-        self.split = regex.compile(BYTE_LEVEL).findall
         self.plain = re.compile(PLAIN).fullmatch
-        # The tokenizer's file must say that it cuts by that pattern and adds no space itself.
-        asked = json.loads(byte_level)
-        cutter = asked.get("pre_tokenizer") or {}
-        self.parts_a = asked.get("normalizer") is None and cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space", True)
-        self.parts_b = all(BLANK not in p.lstrip(BLANK) for p in pieces)
-        self.known_a: dict[str, bytes | None] = {}
-        self.known_b: dict[str, bytes | None] = {}
-        self.held = 0
-
-    def _packed(self, ids: list[int], words: list[bytes], want: str) -> bytes | None:
-        """Ids as 32-bit numbers, or none where their bytes are not the text."""
-        return array("i", ids).tobytes() if b"".join(map(words.__getitem__, ids)) == want.encode() else None
-
-    def _learn(self, known: dict[str, bytes | None], texts: list[list[str]]) -> None:
-        """Ids of all parts of the texts, in one call."""
-        parts = set().union(*texts)
-        new = list(parts.difference(known))
-        self.held += sum(map(len, new)) + 16 * len(new)
-        if self.held > HELD:
-            self.known_a.clear()
-            self.known_b.clear()
-            new = list(parts)
-            self.held = sum(map(len, new)) + 16 * len(new)
-        if not new:
-            return
-        if known is self.known_a:
-            for p, cut in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False)):
-                known[p] = self._packed(cut.ids, self.bytes_a, p)
-        else:
-            for p, ids in zip(new, self.b.encode(new, num_threads=1)):
-                known[p] = self._packed(ids, self.bytes_b, " " + p)
-
-    def _ids_a(self, texts: list[str]) -> list[bytes | None]:
-        parts = [self.split(t) if self.parts_a and self.plain(t) else None for t in texts]
-        self._learn(self.known_a, [p for p in parts if p])
-        return [
-            self._packed(self.a.encode_batch_fast([t], add_special_tokens=False)[0].ids, self.bytes_a, t) if p is None else _joined(self.known_a, p)
-            for t, p in zip(texts, parts)]
-
-    def _ids_b(self, texts: list[str]) -> list[bytes | None]:
-        # Parts without their first blank, which the model adds.
-        parts = [([p[1:] for p in re.findall(" +[^ ]*", t)] if "  " in t else t[1:].split(" ")) if self.parts_b else None for t in texts]
-        self._learn(self.known_b, [p for p in parts if p])
-        found = [p and _joined(self.known_b, p) for p in parts]
-        return [self._packed(self.b.encode(t[1:]), self.bytes_b, t) if ids is None else ids for t, ids in zip(texts, found)]
+        self.ranks = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL, mergeable_ranks=plain, special_tokens={}) if by_rank else None
+
+    def _ids_a(self, full: str) -> np.ndarray | None:
+        if self.ranks and self.plain(full):
+            return self.ranks.encode_to_numpy(full, disallowed_special=()).astype(np.int32)
+        return _checked(self.a.encode_batch_fast([full], add_special_tokens=False)[0].ids, self.bytes_a, full)
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of both for every text; none where the tokens are not the text."""
         none = np.zeros(0, np.int32)
-        at = 0
-        while at < len(texts):
-            to, size = at + 1, len(texts[at])
-            while to < len(texts) and size + len(texts[to]) <= CALL:
-                size += len(texts[to])
-                to += 1
-            full = [" " + t for t in texts[at:to] if t]
-            cut = zip(self._ids_a(full), self._ids_b(full))
-            for t in texts[at:to]:
-                a, b = next(cut) if t else (None, None)
-                yield (none, none) if a is None or b is None else (np.frombuffer(a, np.int32), np.frombuffer(b, np.int32))
-            at = to
+        for t in texts:
+            a = self._ids_a(" " + t) if t else None
+            b = _checked(self.b.encode(t), self.bytes_b, " " + t) if a is not None else None
+            yield (none, none) if b is None else (a, b)
+
 
+def _checked(ids: list[int], words: list[bytes], want: str) -> np.ndarray | None:
+    return np.array(ids, np.int32) if b"".join(map(words.__getitem__, ids)) == want.encode() else None
 
-def _joined(known: dict[str, bytes | None], parts: list[str]) -> bytes | None:
-    found = list(map(known.__getitem__, parts))
-    return None if None in found else b"".join(found)
+
+def ranks_suffice(byte_level: bytes) -> bool:
+    """Whether merging whatever pair has the lowest rank as a whole cuts every text as the file's list of merges does.
+
+    Ids must be in the order of the merges, and every token's own bytes must merge to that token: a pair that is not
+    listed can then never stand side by side, as the bytes of both would have merged in the listed way before.
+    """
+    asked = json.loads(byte_level)
+    cutter = asked.get("pre_tokenizer") or {}
+    as_known = asked.get("normalizer") is None and cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space", True)
+    if not as_known or asked["model"].get("ignore_merges") or asked["model"].get("dropout"):
+        return False
+    vocabulary = asked["model"]["vocab"]
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in asked["model"]["merges"]]
+    made = [vocabulary.get(x + y, -1) for x, y in merges]
+    letters = _byte_letters()
+    if any(c not in vocabulary for c in letters) or made != sorted(set(made)) or set(vocabulary.values()) - set(made) != {vocabulary[c] for c in letters}:
+        return False
+    rank = {m: r for r, m in enumerate(merges)}
+
+    def merged(parts: list[str]) -> list[str]:
+        while len(parts) > 1:
+            r, k = min((rank.get(pair, len(rank)), k) for k, pair in enumerate(zip(parts, parts[1:])))
+            if r == len(rank):
+                break
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+        return parts
+
+    return all(len(merged(list(name))) == 1 for name in vocabulary)
 
 
 def _byte_letters() -> dict[str, int]:
@@ -431,7 +411,7 @@ def align(docs: DataFrame, byte_level: bytes, piece_model: bytes) -> DataFrame:
     context = docs.sparkSession.sparkContext
     tokens = Tokens(byte_level, piece_model)
     sizes = context.broadcast((tokens.size_a, tokens.size_b))
-    merged = _merged(_pieces(docs, context.broadcast((byte_level, piece_model))), sizes)
+    merged = _merged(_pieces(docs, context.broadcast((byte_level, piece_model, ranks_suffice(byte_level)))), sizes)
     counts = link_counts(merged, len(tokens.size_b))
     weights = _weighed(merged, counts)
     rare = weights.where("pair is not null").select("rid", "pair", "times").join(counts, "pair").groupBy("rid").agg(

@@ -97,6 +97,16 @@ def test_alignment_rows(llm, files, odd, none):
     assert align.align(none, *files).count() == 0
 
 
+def test_both_ways_to_cut(files):
+    assert align.ranks_suffice(files[0])
+    quick, slow = align.Tokens(*files, True), align.Tokens(*files)
+    rng = random.Random(4)
+    letters = "ab'sS tTre  ..,\n\t\r\x85\xa0\xad　 \x1c\x0b½²ªßñЖж中日ह़ा̀▁<s></s>0123٣JxX_€“”\x00🙂"
+    odd = ["".join(rng.choice(letters) for _ in range(rng.choice([1, 3, 10, 40]))) for _ in range(5000)] + ["<|endoftext|> and <|endoftext|>"]
+    for (a, b), (c, d) in zip(quick.encode(odd), slow.encode(odd)):
+        assert a.tolist() == c.tolist() and b.tolist() == d.tolist()
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_merge_path(seed):
     rng = np.random.default_rng(seed)
