@@ -16,7 +16,7 @@ from skygrid.functions import geo, weather
 from skygrid.operators import calibrate as cb, grid, interpolate as ip, neighbours as nb, stations as st, validate as va
 from skygrid.params import CALIBRATED, DAILY_GRID, DEFAULTS, STUDY_GRID
 from skygrid.schema import CELL_VARIABLES
-from skygrid.sources import adapters as ad, tables
+from skygrid.sources import adapters as ad, folders, tables
 
 # ---- SQL twins of the method, written from the papers' formulas ------------------------------------
 
@@ -342,55 +342,43 @@ def loo_predictions(spark, sf):
 # tests hold their steps against brute force on a small table.
 
 
-def daily_errors(spark, sf):
-    """Leave-one-out error sums of every day: one table for calibration and cross-validation."""
-    return spark.read.parquet(stored(spark, sf, "errors", lambda path: tables.materialize(
-        cb.error_table(placed_table(spark, sf), ["dates", "i_step"], DAILY_GRID), path)))
-
-
 def every_day(spark, sf):
     return ad.obs(spark, sf).select(F.col("dates").alias("date_fin"))
 
 
 def calibrated(spark, sf):
-    """Window frames, error sums and best choices of every day, written once for the queries that read them."""
-    frames = cb.window_frames(placed_table(spark, sf), every_day(spark, sf), 17)
-    rolled = spark.read.parquet(stored(spark, sf, "rolled", lambda path: tables.materialize(
-        cb.rolled_errors(daily_errors(spark, sf), frames, DAILY_GRID, 17), path)))
-    return frames, rolled, cb.best_params(rolled, ["date_fin", "i_step"])
+    """Windows of every day with their best choices and error sums, written once for the queries that read them."""
+    def write(path):
+        tables.materialize(cb.calibrated_windows(placed_table(spark, sf), every_day(spark, sf), DAILY_GRID, folders.new_folder(spark, "rows"), 17), path)
+
+    return spark.read.parquet(stored(spark, sf, "windows", write))
+
+
+def window_counts(spark, sf):
+    here = placed_table(spark, sf)
+    return cb.window_station_counts(here, cb.window_frames(here, every_day(spark, sf), 17))
 
 
 @query("calibrate")
 def calibrate(spark, sf):
-    _, _, best = calibrated(spark, sf)
-    return best.groupBy("date_fin", "variable").agg(
+    return cb.chosen(calibrated(spark, sf)).groupBy("date_fin", "variable").agg(
         F.count(F.lit(1)).alias("partitions"), F.sum("N").alias("sum_n"), F.sum("alpha").alias("sum_alpha"), F.avg("mae").alias("mae"))
 
 
 @query("calibrate_month")
 def calibrate_month(spark, sf):
-    here = placed_table(spark, sf)
-    # Only days inside a study window are scored.
-    months = cb.month_windows(ad.obs(spark, sf))
-    days = here.join(here.select("dates").distinct().filter(F.dayofmonth("dates") <= 16), "dates", "left_semi")
-    errors = cb.error_table(days, ["dates", "i_step"], STUDY_GRID)
-    # Windows do not overlap, so a month's sums are its days' sums.
-    keys = [F.date_add(F.trunc("dates", "MM"), 15).alias("date_fin"), "i_step", "variable", "N", "alpha"]
-    summed = errors.groupBy(*keys).agg(F.sum("n_obs").alias("n_obs"), F.sum("sum_abs").alias("sum_abs"))
-    return cb.best_params(summed.join(months.select("date_fin"), "date_fin", "left_semi"), ["date_fin", "i_step"])
+    # Only days inside a study window are scored, and windows have no day in common.
+    days = placed_table(spark, sf).filter(F.dayofmonth("dates") <= 16).withColumn("date_fin", F.date_add(F.trunc("dates", "MM"), 15))
+    return cb.chosen(cb.best_of_windows(days, STUDY_GRID, folders.new_folder(spark, "rows")))
 
 
 @query("calibration_table")
 def calibration_table(spark, sf):
-    frames, _, best = calibrated(spark, sf)
-    counts = cb.window_station_counts(placed_table(spark, sf), frames)
     # The two outlines are checked by wkt_text, where coordinates are rounded first.
-    return cb.calibration_table(best, counts, grid.partition_boxes(ad.topo(spark, sf))).drop("buffer", "topo_bbox")
+    return cb.calibration_table(cb.chosen(calibrated(spark, sf)), window_counts(spark, sf), grid.partition_boxes(ad.topo(spark, sf))).drop("buffer", "topo_bbox")
 
 
 @query("cv_tables")
 def cv_tables(spark, sf):
-    frames, rolled, best = calibrated(spark, sf)
-    counts = cb.window_station_counts(placed_table(spark, sf), frames)
-    return va.cv_tables(daily_errors(spark, sf), rolled, best, counts).groupBy("dates", "variable", "stat").agg(
+    return va.cv_tables(calibrated(spark, sf), window_counts(spark, sf)).groupBy("dates", "variable", "stat").agg(
         F.count_distinct("interpolator_id").alias("partitions"), F.count("value").alias("n_values"), F.avg("value").alias("value"))

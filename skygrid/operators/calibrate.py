@@ -7,13 +7,16 @@ range sums, instead of once per day for every window that holds it.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skygrid.functions import calendar as cal, geo
-from skygrid.operators import interpolate as ip, loo, neighbours as nb
+from skygrid.operators import interpolate as ip, loo, neighbours as nb, stations as st, windows as wn
 from skygrid.params import CALIBRATED, DEFAULTS, SHORT_NAMES, STATION_BUFFER_M, WINDOW_DAYS, InterpolationParams
 
 STATIONS_PER_CHUNK = 256
+# Days of a partition that one task works through, with those of the window before them.
+STRETCH_DAYS = 128
 Grid = dict[str, tuple[tuple[float, float], ...]]
 
 def error_sums() -> dict[str, Column]:
@@ -115,16 +118,107 @@ def best_params(errors: DataFrame, keys: list[str], count: str = "n_obs") -> Dat
     return best.select(*keys, "variable", F.col("b.N").alias("N"), F.col("b.alpha").alias("alpha"), F.col("b.mae").alias("mae"))
 
 
-def calibrate(
-    placed: DataFrame, wanted: DataFrame, grid: Grid, window: int = WINDOW_DAYS, p: InterpolationParams = DEFAULTS
+def _best_rows(units: DataFrame, plan: wn.Plan, p: InterpolationParams) -> DataFrame:
+    """One row per window and variable from station-days with ``i_step, first, slot`` (their unit and place in it) and ``dates``."""
+    keys = ["i_step", "first", "slot", "dates"]
+    sources = ip.as_sources(units, keys, p)
+    # A unit is cut by its fullest day.
+    counts = sources.groupBy("i_step", "first", "dates").agg(F.count(F.lit(1)).alias("n")).groupBy("i_step", "first").agg(
+        F.ceil(F.max("n") / STATIONS_PER_CHUNK).cast("int").alias("chunks"))
+    chunked = sources.join(counts, ["i_step", "first"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    used = {v: ip.SOURCE_VALUES[v] for v in plan.grid}
+    unit = F.concat_ws(" ", "i_step", "first", "chunk")
+    rows = chunked.select(
+        "i_step", F.col("first").cast("long"), F.col("slot").cast("long"), "chunks", unit.alias("_unit"), F.concat_ws(" ", unit, "dates").alias("_set"),
+        F.col("s_id").cast("string").alias("s_id"), (F.pmod(F.xxhash64("s_id"), F.col("chunks")) == F.col("chunk")).alias("is_target"),
+        *[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in ("sx", "sy", "sz", *dict.fromkeys(used.values()))])
+    numbers = _numbers(p)
+    kind = units.schema["i_step"].dataType.simpleString()
+    schema = f"i_step {kind}, day int, variable string, N double, alpha double, mae double, window array<double>, today array<double>"
+    sets = nb.place(rows, ["_unit"]).sortWithinPartitions("_unit", "_set")
+    return sets.mapInArrow(lambda batches: wn.best_rows(batches, plan, used, numbers), schema + ", slot int, part array<double>")
+
+
+def _joined(found: DataFrame, plan: wn.Plan) -> DataFrame:
+    """Rows of windows, with those of units that came in chunks."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema)
+    parts = found.where("part is not null").select("i_step", "day", "variable", "slot", "part").repartition("i_step", "day").sortWithinPartitions("i_step", "day")
+    whole = found.where("part is null").unionByName(parts.mapInArrow(lambda batches: wn.joined_rows(batches, plan), schema))
+    return whole.select(F.date_from_unix_date("day").alias("date_fin"), "i_step", "variable", "N", "alpha", "mae", "window", "today")
+
+
+def _plan(grid: Grid, window: int, ends: np.ndarray | None) -> wn.Plan:
+    return wn.Plan({v: tuple(sorted(pairs)) for v, pairs in grid.items()}, tuple(error_sums()), STRETCH_DAYS, window, ends)
+
+
+def calibrated_windows(
+    placed: DataFrame, wanted: DataFrame, grid: Grid, path: str, window: int = WINDOW_DAYS, p: InterpolationParams = DEFAULTS
 ) -> DataFrame:
-    """Best parameters per variable for each window end and partition.
+    """Best choice per variable for each window end and partition, with the error sums of the window and of its last day.
 
-    ``placed`` holds masked station-days of each partition (``dates, i_step``).
+    ``placed`` holds masked station-days of each partition (``dates, i_step``); ``path`` is a folder for what the tasks put out.
+    The wanted ``date_fin`` are known to every task: they are days of a calendar.
+    """
+    ends = np.array(sorted(r[0] for r in wanted.select(F.unix_date("date_fin")).distinct().collect() if r[0] is not None), np.int64)
+    plan = _plan(grid, window, ends)
+    day = F.unix_date("dates")
+    inside = wanted.select(F.explode(F.sequence(F.date_sub("date_fin", window - 1), "date_fin")).alias("dates")).distinct()
+    block = F.explode(F.sequence(F.floor(day / STRETCH_DAYS), F.floor((day + window - 1) / STRETCH_DAYS)))
+    units = placed.join(F.broadcast(inside), "dates", "left_semi").withColumn("block", block).withColumns({
+        "first": F.col("block") * STRETCH_DAYS - (window - 1), "slot": day - F.col("block") * STRETCH_DAYS + (window - 1)})
+    found = _best_rows(units, plan, p)
+    found.write.mode("overwrite").parquet(path)
+    return _joined(placed.sparkSession.read.schema(found.schema).parquet(path), plan)
+
+
+def best_of_windows(days: DataFrame, grid: Grid, path: str, p: InterpolationParams = DEFAULTS) -> DataFrame:
+    """The same where each row of ``days`` says which window it is in (``date_fin``), and windows have nothing in common."""
+    plan = _plan(grid, 0, None)
+    units = days.withColumns({"first": F.unix_date("date_fin"), "slot": (F.col("dates") == F.col("date_fin")).cast("int")})
+    found = _best_rows(units, plan, p)
+    found.write.mode("overwrite").parquet(path)
+    return _joined(days.sparkSession.read.schema(found.schema).parquet(path), plan)
+
+
+def moved_windows(placed: DataFrame, wanted: DataFrame, window: int = WINDOW_DAYS) -> DataFrame:
+    """(date_fin, i_step) of the wanted windows that hold days of a station from before and after a change of its attributes.
+
+    A station's days between two changes are an island; a window meets two of them if it ends on the later one's first day or
+    after, and begins on the earlier one's last day or before.
     """
-    daily = error_table(placed, ["dates", "i_step"], grid, p)
-    frames = window_frames(placed, wanted, window)
-    return best_params(rolled_errors(daily, frames, grid, window), ["date_fin", "i_step"])
+    attrs = F.struct(*st.STATION_ATTRS)
+    order = Window.partitionBy("i_step", "stationID").orderBy("dates")
+    before = placed.select("i_step", "stationID", "dates", attrs.alias("a")).withColumns({"was": F.lag("a").over(order), "seen": F.lag("dates").over(order)})
+    moves = before.where(F.col("was").isNotNull() & ~F.col("was").eqNullSafe(F.col("a")))
+    spans = moves.where(F.datediff("dates", "seen") < window).select("i_step", F.explode(F.sequence("dates", F.date_add("seen", window - 1))).alias("date_fin"))
+    return spans.distinct().join(wanted.select("date_fin").distinct(), "date_fin", "left_semi")
+
+
+def with_latest_attributes(
+    windows: DataFrame, placed: DataFrame, moved: DataFrame, grid: Grid, path: str, window: int = WINDOW_DAYS, p: InterpolationParams = DEFAULTS
+) -> DataFrame:
+    """Calibrated windows where those of ``moved`` are worked out again, with each station's latest attributes on all its days."""
+    # A moved window has at most ``window`` days: its rows are listed by an equi-join on partition and day.
+    days = moved.withColumn("dates", F.explode(F.sequence(F.date_sub("date_fin", window - 1), "date_fin")))
+    frames = st.latest_attributes(placed.join(days, ["i_step", "dates"]), ["date_fin", "i_step", "stationID"])
+    keys = ["date_fin", "i_step"]
+    return windows.join(moved, keys, "left_anti").unionByName(best_of_windows(frames, grid, path, p))
+
+
+def sums_in(windows: DataFrame, column: str) -> DataFrame:
+    """The sums that an array column holds, under their names."""
+    return windows.select("*", *[F.col(column)[k].alias(name) for k, name in enumerate(error_sums())])
+
+
+def calibrate(
+    placed: DataFrame, wanted: DataFrame, grid: Grid, path: str, window: int = WINDOW_DAYS, p: InterpolationParams = DEFAULTS
+) -> DataFrame:
+    """Best parameters per variable for each window end and partition."""
+    return chosen(calibrated_windows(placed, wanted, grid, path, window, p))
+
+
+def chosen(windows: DataFrame) -> DataFrame:
+    return windows.select("date_fin", "i_step", "variable", "N", "alpha", "mae")
 
 
 def calibrate_frames(frames: DataFrame, grid: Grid, p: InterpolationParams = DEFAULTS) -> DataFrame:

@@ -184,11 +184,11 @@ def test_wkb_of_what_is_not_finite(spark):
     assert [r.h for r in df.select(geo.point_wkb_hex(F.col("x"), F.col("y")).alias("h")).collect()] == [None] * 3
 
 
-def test_rolled_calibration_equals_windows(spark):
+def test_rolled_calibration_equals_windows(spark, tmp_path):
     obs = spark.createDataFrame(stations(20, 20), OBS)
     small = {"MinTemperature": ((10.0, 3.0), (20.0, 10.0)), "PrecipitationEvent": ((5.0, 5.0), (10.0, 20.0))}
     wanted = obs.select(F.col("dates").alias("date_fin"))
-    rolled = cb.calibrate(obs, wanted, small, 5)
+    rolled = cb.calibrate(obs, wanted, small, str(tmp_path / "rows"), 5)
     frames = st.window_dates(obs, wanted, 5)
     exact = cb.calibrate_frames(frames, small)
     key = lambda r: (r.date_fin, r.i_step, r.variable)
