@@ -285,7 +285,7 @@ _DAY = day_steps(*ip.SOURCE_VALUES) | LONLAT_STEP | {
 
 def interpolated_days(spark, sf):
     topo = topo_table(spark, sf)
-    return ip.finish_cells(ip.interpolate(topo, placed_table(spark, sf)), topo)
+    return ip.finish_cells(ip.interpolate(topo, placed_table(spark, sf)), topo, days=placed_table(spark, sf))
 
 
 @query("interpolate_day", sql("v_placed v_topo", f"select dates, count(*) as n, {_by_date(CELL_VARIABLES)} from v_full group by dates", "dates",

@@ -13,6 +13,9 @@ SOURCE_VALUES = {
     "MinTemperature": "s_tmin", "MaxTemperature": "s_tmax", "DewTemperature": "s_tdew",
     "PrecipitationEvent": "s_event", "PrecipitationAmount": "s_amount", "Wind": "s_u",
 }
+# Where cells of a partition's chunk are placed, with all days of a slice.
+PLACE = ("i_step", "chunk", "slice")
+SLICE_DAYS = 8
 # Shares this close to the event cut count as reaching it.
 EVEN = 1e-9
 TEMPERATURES = ("MinTemperature", "MaxTemperature", "DewTemperature")
@@ -126,17 +129,32 @@ def weighted_moments(
     return pairs.groupBy(*ids).agg(*nb.carried(targets, ids), *moment_sums(variables, smoothing, p))
 
 
+def chunked_cells(topo: DataFrame, days: DataFrame, columns: list[Column | str]) -> DataFrame:
+    """Cells with ``columns``, once per slice of days in which their partition has any, in the places of their chunk and slice.
+
+    A slice is ``SLICE_DAYS`` days, so what moves here is that part of the cell-days.
+    """
+    counts = nb.chunk_counts(topo.withColumnRenamed("partition", "i_step"), ["i_step"])
+    spread = F.pmod(F.xxhash64("cell_id"), F.col("chunks")).cast("int")
+    slices = days.select("i_step", slice_of("dates").alias("slice")).distinct()
+    cells = topo.withColumnRenamed("partition", "i_step").join(counts, "i_step").select("i_step", spread.alias("chunk"), *columns)
+    return nb.place(cells.join(slices, "i_step"), list(PLACE))
+
+
+def slice_of(day: str) -> Column:
+    return F.floor(F.unix_date(day) / SLICE_DAYS).cast("int")
+
+
 def cell_targets(topo: DataFrame, frames: DataFrame, counts: DataFrame) -> DataFrame:
     """Grid cells under every date of their partition, chunked.
 
-    Dates, partitions and chunks are hashed into place first and only then grow into cells, so the
-    cell-days themselves are never shuffled.
+    Dates, partitions and chunks are hashed into place first and only then grow into cells. Cells that are too many to be
+    broadcast wait in the same places, so the cell-days themselves are never shuffled.
     """
-    spread = F.pmod(F.xxhash64("cell_id"), F.col("chunks")).cast("int")
-    cells = topo.withColumnRenamed("partition", "i_step").join(counts, "i_step").select(
-        "i_step", spread.alias("chunk"), "cell_id", "x", "y", (F.col("elevation") / 1000.0).alias("z"))
-    chunks = nb.place(nb.repeat_sources(frames, counts, ["i_step"]), ["dates", "i_step", "chunk"])
-    return chunks.join(cells, ["i_step", "chunk"])
+    cells = chunked_cells(topo, frames, ["cell_id", "x", "y", (F.col("elevation") / 1000.0).alias("z")])
+    days = frames.withColumn("slice", slice_of("dates"))
+    chunks = nb.place(nb.repeat_sources(days, counts, ["i_step"]), list(PLACE))
+    return chunks.join(cells, list(PLACE))
 
 
 def interpolate(
@@ -149,8 +167,10 @@ def interpolate(
     ``n_<v>, alpha_<v>`` per date and partition (only those are interpolated, inner join).
     """
     variables = list(variables)
+    # Joins on places and dates find both sides placed by the places alone.
+    topo.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     group = ["dates", "i_step"]
-    keys = group + ["chunk"]
+    keys = group + ["chunk", "slice"]
     counts = nb.chunk_counts(topo.withColumnRenamed("partition", "i_step"), ["i_step"])
     sources = as_sources(obs, group, p)
     frames = obs.select(*group).distinct() if params is None else params
@@ -159,29 +179,39 @@ def interpolate(
         frames = frames.join(rain_slopes(sources, group), group, "left").withColumn(
             "rain_slope", F.coalesce("rain_slope", F.lit(0.0)))
     targets = cell_targets(topo, frames, counts)
-    return weighted_moments(
-        targets, nb.repeat_sources(sources, counts, ["i_step"]), keys, keys + ["cell_id"], variables, smoothing, None, p)
+    placed = nb.place(nb.repeat_sources(sources.withColumn("slice", slice_of("dates")), counts, ["i_step"]), list(PLACE))
+    return weighted_moments(targets, placed, keys, keys + ["cell_id"], variables, smoothing, None, p)
 
 
-def terrain_light(topo: DataFrame) -> DataFrame:
+def terrain_light(topo: DataFrame, keep_partition: bool = False) -> DataFrame:
     """What the derived variables need of a cell and no date changes, worked out once per cell."""
     _, lat = geo.xy_to_lonlat(F.col("x"), F.col("y"))
     cells = topo.select(
-        "cell_id", F.radians(lat).alias("lat"), "elevation", "slope", "aspect", "TPI",
+        "cell_id", *(["partition"] if keep_partition else []), F.radians(lat).alias("lat"), "elevation", "slope", "aspect", "TPI",
         geo.point_wkb_hex(F.col("x"), F.col("y")).alias("geom_hex"), geo.point_wkt(F.col("x"), F.col("y")).alias("geom_text"))
     tilted, shift = weather.equivalent_latitude(F.col("lat"), F.col("slope"), F.col("aspect"))
     return cells.withColumns({"lat_tilted": tilted, "shift": shift, "pressure": weather.air_pressure(F.col("elevation"))})
 
 
-def finish_cells(moments: DataFrame, topo: DataFrame, p: InterpolationParams = DEFAULTS) -> DataFrame:
-    """Published variables of each cell and date from the sums."""
+def finish_cells(moments: DataFrame, topo: DataFrame, p: InterpolationParams = DEFAULTS, days: DataFrame | None = None) -> DataFrame:
+    """Published variables of each cell and date from the sums.
+
+    With the ``days`` that were interpolated (any frame of ``dates, i_step`` that names them), terrain that is too large to be broadcast goes
+    to the places of the cell-days; without, both are shuffled by cell.
+    """
+    light = terrain_light(topo)
+    if days is None:
+        keys = ["cell_id"]
+    else:
+        keys = [*PLACE, "cell_id"]
+        light = chunked_cells(terrain_light(topo, keep_partition=True), days, light.columns)
     base = moments.select(
-        "dates", "i_step", "cell_id", "x", "y",
+        "dates", *dict.fromkeys(["i_step", *keys]), "x", "y",
         predicted("MinTemperature", p).alias("MinTemperature"), predicted("MaxTemperature", p).alias("_max"),
         predicted("DewTemperature", p).alias("dew"), predicted("PrecipitationEvent", p).alias("event"),
         predicted("PrecipitationAmount", p).alias("amount"),
         wind_speed().alias("WindSpeed"), wind_direction().alias("WindDirection"),
-    ).join(terrain_light(topo), "cell_id")
+    ).join(light, keys)
     # Smoothing is per variable: the maximum is kept at or above the minimum.
     base = base.withColumn("MaxTemperature", F.greatest("MinTemperature", "_max"))
     base = base.withColumns({

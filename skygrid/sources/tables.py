@@ -76,8 +76,11 @@ def write_interpolated(
     cells: DataFrame, path: str, rows_per_group: int = INTERPOLATED_ROWS_PER_GROUP,
     rows_per_file: int = INTERPOLATED_ROWS_PER_FILE,
 ) -> None:
-    """Cells by day. Rows are ordered by place, so small row groups can be skipped by their x and y range."""
-    out = spread_for_files(with_day_keys(cells), list(DAY_KEYS), "cell_id", rows_per_file)
+    """Cells by day. Rows are ordered by place, so small row groups can be skipped by their x and y range.
+
+    Spark sizes the tasks from what the days' shuffle holds (a hot day goes to several), so cell-days are made once and not counted before.
+    """
+    out = with_day_keys(cells).hint("rebalance", *DAY_KEYS)
     out = out.sortWithinPartitions(*DAY_KEYS, "partition", "y", "x")
     (
         _day_writer(out).option("maxRecordsPerFile", rows_per_file)
