@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skygrid.checks.registry import query, sql
-from skygrid.functions import calendar as cal, columns
+from skygrid.functions import calendar as cal, columns, geo
 from skygrid.operators import grid, interpolate as ip, runs, stations as st
 from skygrid.params import EXCLUDED_PROVINCES
 from skygrid.schema import CELL_VARIABLES
@@ -48,7 +48,8 @@ def _land(obs, path, fmt):
     "v_obs", "select stationid as \"stationID\", service, dates, x, y, elevation, * exclude (stationid, service, dates, x, y, elevation) from v_obs",
     "stationID service dates", "", "x y elevation " + OBS_NUMS))
 def read_feeds(spark, sf):
-    obs = ad.obs(spark, sf).withColumn("timestamp", F.col("dates").cast("timestamp_ntz"))
+    lon, lat = geo.xy_to_lonlat(F.col("x"), F.col("y"))
+    obs = ad.obs(spark, sf).withColumns({"timestamp": F.col("dates").cast("timestamp_ntz"), "lon": lon, "lat": lat})
     formats = {"aemet": "json", "meteocat": "csv", "meteogalicia": "parquet", "ria": "json"}
     landed = {}
     for service, fmt in formats.items():

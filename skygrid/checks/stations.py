@@ -93,13 +93,11 @@ def region_daily_means_nan(spark, sf):
   cross join lateral (values ('municipio', g.rid), ('comarca', g.rid % 10), ('provincia', g.province)) l(admin_level, region)
   group by l.admin_level, l.region, c.dates""", "admin_level dates", "region n", "MinTemperature Precipitation"))
 def admin_rollup(spark, sf):
-    # One pass over the cells serves all levels: a member is listed once per level.
     levels = F.array(*[
         F.struct(F.lit(level).alias("admin_level"), region.cast("bigint").alias("region"))
         for level, region in (("municipio", F.col("rid")), ("comarca", F.col("rid") % 10), ("provincia", F.col("province")))])
-    listed = members(spark, sf).join(ad.regions(spark, sf).select("rid", "province"), "rid").select("cell_id", F.inline(levels))
-    return ad.interpolated(spark, sf).join(listed, "cell_id").groupBy("admin_level", "region", "dates").agg(
-        n_rows(), F.avg("MinTemperature").alias("MinTemperature"), F.avg("Precipitation").alias("Precipitation"))
+    named = ad.regions(spark, sf).select("rid", F.inline(levels))
+    return rg.rollup(ad.interpolated(spark, sf), members(spark, sf), named, ["MinTemperature", "Precipitation"])
 
 
 @query("station_count", sql("v_placed", """

@@ -5,9 +5,10 @@ from __future__ import annotations
 from functools import reduce
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from skygrid.params import PARTITION_COLS, PARTITION_MERGES, PARTITION_ROWS
+from skygrid.sources import folders, tables
 
 
 def partition_id(
@@ -113,28 +114,32 @@ def partition_boxes(topo: DataFrame) -> DataFrame:
         F.col("partition").alias("i_step"), "xmin", "xmax", "ymin", "ymax", F.col("topo_nrow").alias("topo_ncells"))
 
 
-def _numbered(df: DataFrame, bucket: list[str], order: list[str]) -> DataFrame:
-    """Rows with their place in the order of ``bucket`` then ``order``, and the row count.
+def _numbered(df: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
+    """Rows with ``_row``, their place in the order from 1, and how many there are.
 
-    No task numbers all rows: rows are numbered inside their bucket and the row counts of the buckets
-    before give the offset. Only the bucket counts, one row per bucket, are ordered as a whole.
+    Rows are dealt out by ranges of the whole order, so that no group of equal first columns is one task's work, and written: each row with its task
+    and its place there. What comes before a task is known from the tasks' counts, one number each.
     """
-    inside = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*bucket).orderBy(*order)))
-    counts = df.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.select(
-        *bucket, (F.sum("_n").over(Window.orderBy(*bucket)) - F.col("_n")).alias("_before"),
-        F.sum("_n").over(Window.partitionBy()).alias("_total"),
-    )
-    return inside.join(before, bucket).withColumn("_row", F.col("_before") + F.col("_rank")).drop("_rank", "_before")
+    spark = df.sparkSession
+    within = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_task": F.spark_partition_id(), "_place": within})
+    ranged = tables.materialize(ranged, folders.new_folder(spark, "ranges"))
+    counts = sorted(tuple(r) for r in ranged.groupBy("_task").agg(F.count(F.lit(1)).alias("n")).collect())
+    before, total = [], 0
+    for task, n in counts:
+        before.append((task, total))
+        total += n
+    offsets = spark.createDataFrame(before, "_task int, _before long")
+    return ranged.join(F.broadcast(offsets), "_task").withColumn("_row", F.col("_before") + F.col("_place") + 1).drop("_task", "_place", "_before"), total
 
 
 def row_numbers(df: DataFrame, bucket: list[str], order: list[str], name: str) -> DataFrame:
     """The place of each row in the order of ``bucket`` then ``order``, from 1."""
-    return _numbered(df, bucket, order).drop("_total").withColumnRenamed("_row", name)
+    return _numbered(df, [*bucket, *order])[0].withColumnRenamed("_row", name)
 
 
 def row_chunks(df: DataFrame, bucket: list[str], order: list[str], chunks: int) -> DataFrame:
     """Rows in order of ``bucket`` then ``order``, cut into equal chunks."""
-    size = F.ceil(F.col("_total") / chunks)
-    return _numbered(df, bucket, order).withColumn(
-        "chunk", F.ceil(F.col("_row") / size).cast("bigint")).drop("_row", "_total")
+    rows, total = _numbered(df, [*bucket, *order])
+    size = max(1, -(-total // chunks))
+    return rows.withColumn("chunk", F.ceil(F.col("_row") / size).cast("bigint")).drop("_row")

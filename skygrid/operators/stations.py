@@ -99,10 +99,12 @@ def stations_in_partitions(stations: DataFrame, boxes: DataFrame, distance: floa
 def window_dates(obs: DataFrame, wanted: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
     """Each observation under every wanted ``date_fin`` whose window of ``days`` days holds it.
 
-    The window is turned into an equi-join: an observation is listed under its next ``days`` dates.
+    The wanted dates are listed under each day of their windows, ``days`` rows a date, and meet the observations by an equi-join on
+    the day: an observation becomes as many rows as wanted windows hold it, and none when none does.
     """
-    spread = obs.withColumn("date_fin", F.explode(F.sequence("dates", F.date_add("dates", days - 1))))
-    return spread.join(wanted.select("date_fin").distinct(), "date_fin", "left_semi")
+    window = F.explode(F.sequence(F.date_sub("date_fin", days - 1), "date_fin")).alias("dates")
+    spread = wanted.select("date_fin").distinct().select("date_fin", window)
+    return obs.join(spread, "dates").select(*obs.columns, "date_fin")
 
 
 def latest_attributes(obs: DataFrame, keys: list[str]) -> DataFrame:

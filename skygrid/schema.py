@@ -27,7 +27,7 @@ def _doubles(names):
 
 FEED = T.StructType(
     [T.StructField("timestamp", T.TimestampNTZType()), T.StructField("stationID", T.StringType())]
-    + _doubles(("x", "y", "elevation", "slope", "aspect"))
+    + _doubles(("lon", "lat", "x", "y", "elevation", "slope", "aspect"))
     + _doubles(OBS_VARIABLES)
 )
 RAW_OBS = T.StructType(

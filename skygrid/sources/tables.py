@@ -152,6 +152,29 @@ def write_days(df: DataFrame, path: str, *keys: str, rows_per_group: int | None
     (writer.option("parquet.block.row.count.limit", rows_per_group) if rows_per_group else writer).parquet(path)
 
 
+def drop_days(spark: SparkSession, path: str, keys: tuple[str, ...], day: Column, spine: DataFrame) -> int:
+    """Removes the folders of days that are not in ``spine`` (``dates``); returns how many. ``day`` is the date that the folder keys name.
+
+    Whole folders go, through the file system the table lies on; tables not written yet, and rows without a day, are left alone.
+    """
+    stored = stored_or_none(spark, path)
+    if stored is None:
+        return 0
+    # A row per folder: days of a calendar.
+    old = stored.select(*keys).distinct().withColumn("dates", day).where("dates is not null").join(spine.select("dates"), "dates", "left_anti").select(*keys).collect()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for row in old:
+        folder = root
+        for key in keys:
+            folder = hadoop.Path(folder, f"{key}={escaped(str(row[key]))}")
+        files.delete(folder, True)
+    spark.catalog.refreshByPath(path)
+    return len(old)
+
+
 def stored_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or nothing when it has not been written yet."""
     try:

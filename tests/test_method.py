@@ -284,11 +284,12 @@ def test_pipeline_end_to_end(spark, tmp_path):
     store = daily.Store(str(tmp_path))
     choices = {v: ((10.0, 5.0), (20.0, 10.0)) for v in CALIBRATED}
 
-    def run(*days):
+    def run(*days, keep=None):
+        spine = keep and spark.createDataFrame([(date(2024, 5, d),) for d in keep], "dates date")
         wanted = spark.createDataFrame([(date(2024, 5, d),) for d in days], "date_fin date")
         return daily.run(
             spark, [obs.filter("service = 'aemet'"), obs.filter("service = 'ria'")], topo, regions, wanted,
-            ra.Raster(390000.0, 4330000.0, 10000.0, 14, 14), ra.Raster(-4.3, 39.2, 0.3, 6, 6), store, choices)
+            ra.Raster(390000.0, 4330000.0, 10000.0, 14, 14), ra.Raster(-4.3, 39.2, 0.3, 6, 6), store, choices, spine)
 
     def files(day):
         return {p: p.stat().st_mtime_ns for name in ("best", "cv", "series", "bitmaps") for p in (tmp_path / name).rglob(f"*{day}*/*.parquet")}
@@ -308,6 +309,54 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert daily.current(spark, store, "cv", spine).select("dates").distinct().count() == 1
     assert {r.stat for r in spark.read.parquet(store.path("cv")).select("stat").distinct().collect()} == {
         "bias", "mae", "relative_bias", "n", "r2", "n_stations"}
+    # A third run has nothing to do but to drop what the spine no longer holds.
+    assert run(18, keep=[18, 19]).select("dates").distinct().collect() == [(date(2024, 5, 18),)]
+    days = {"best": "date_fin", "cv": "dates", "series": "dates", "bitmaps": "published", "interpolators/obs": "date_fin", "interpolators/params": "date_fin"}
+    for name, day in days.items():
+        assert [str(r[0]) for r in spark.read.parquet(store.path(name)).select(day).distinct().collect()] == ["2024-05-18"]
+    assert spark.read.parquet(store.path("calibrations")).count() == 2
+    assert not files("2024-05-17") and files("2024-05-18")
+
+
+def test_numbering_of_a_hot_bucket(spark):
+    rows = [(1, k) for k in range(5000)] + [(2, 7), (0, 3), (0, 1)]
+    df = spark.createDataFrame(rows, "b int, k int").repartition(7)
+    got = {(r.b, r.k): r.n for r in grid.row_numbers(df, ["b"], ["k"], "n").collect()}
+    assert got == {r: i + 1 for i, r in enumerate(sorted(rows))}
+    sizes = grid.row_chunks(df, ["b"], ["k"], 4).groupBy("chunk").count().collect()
+    assert sorted(r["count"] for r in sizes) == [1250, 1251, 1251, 1251] and grid.row_chunks(df.limit(0), ["b"], ["k"], 4).count() == 0
+
+
+def test_rollup_reads_cells_once(spark):
+    cells = spark.createDataFrame([(c, date(2024, 1, d), float(c * d) if c != 3 else None) for c in range(6) for d in (1, 2)], "cell_id int, dates date, v double")
+    members = spark.createDataFrame([(0, 10), (1, 10), (2, 11), (3, 12), (2, 12)], "cell_id int, rid int")
+    levels = spark.createDataFrame([("town", r, r) for r in (10, 11, 12)] + [("land", r, r // 12) for r in (10, 11, 12)], "admin_level string, rid int, region int")
+    got = {(r.admin_level, r.region, r.dates.day): (r.n, r.v) for r in rg.rollup(cells, members, levels, ["v"]).collect()}
+    assert got["town", 10, 2] == (2, 1.0) and got["town", 12, 1] == (2, 2.0) and got["land", 0, 2] == (3, 2.0) and got["land", 1, 2] == (2, 4.0) and len(got) == 10
+
+
+def test_only_wanted_windows_multiply(spark):
+    obs = spark.createDataFrame([(date(2024, 1, 1) + timedelta(d), d) for d in range(60)], "dates date, k int")
+    wanted = spark.createDataFrame([(date(2024, 1, 20),), (date(2024, 1, 21),), (date(2024, 1, 20),)], "date_fin date")
+    rows = st.window_dates(obs, wanted, 5).collect()
+    assert sorted((r.date_fin.day, r.k) for r in rows) == [(f, f - 1 - k) for f in (20, 21) for k in range(4, -1, -1)]
+    assert st.window_dates(obs, wanted, 5).columns == ["dates", "k", "date_fin"]
+
+
+def test_landed_files_become_raw_days(spark, tmp_path):
+    from skygrid.plans import daily
+    from skygrid.sources import feeds, tables
+
+    rows = [("2024-05-01 10:00:00", "S1", -3.0, 40.0, 5.0), ("2024-05-02 10:00:00", "S1", -3.0, 40.0, 6.0), ("2024-05-01 00:00:00", "S9", 30.0, 40.0, 7.0)]
+    landed = spark.createDataFrame(rows, "timestamp string, stationID string, lon double, lat double, MinTemperature double")
+    landed.write.json(str(tmp_path / "aemet"))
+    read = feeds.read_feeds(spark, {"aemet": (str(tmp_path / "aemet"), "json")}).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    wanted = spark.createDataFrame([(date(2024, 5, 1),)], "dates date")
+    store = daily.Store(str(tmp_path / "store"))
+    daily.store_raw([daily.from_feeds(read, wanted, F.lit(date(2024, 6, 1)))], store)
+    raw = tables.scan_raw(spark, store.path("raw")).collect()
+    assert [(r.stationID, r.dates, r.service, r.MinTemperature) for r in raw] == [("S1", "2024-05-01", "aemet", 5.0)]
+    assert raw[0].x == pytest.approx(5e5, abs=1e-6)
 
 
 def test_feeds_become_raw_days(spark):
