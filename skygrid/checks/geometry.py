@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from skygrid.checks.layout import CELL_NUMS, stored
 from skygrid.checks.registry import query, sql
-from skygrid.functions import columns, geo
+from skygrid.functions import color, columns, geo
 from skygrid.operators import bitmaps as bm, boxes, grid, rasters as ra, regions as rg, stations as st
 from skygrid.params import BITMAP_BLOCK, BITMAP_RAMP
 from skygrid.schema import CELL_VARIABLES, MAP_VARIABLES
@@ -294,24 +295,45 @@ def raster_reproject(spark, sf):
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("value"), F.min("value").alias("lo"), F.max("value").alias("hi"))
 
 
-_HEX = "[" + ", ".join(f"'{c[1:]}'" for c in BITMAP_RAMP) + "]"
+def _lab() -> list[list[float]]:
+    """The ramp's colours in L*a*b*, worked out apart from the operator's own way."""
+    rgb = np.array([[int(c[k:k + 2], 16) for k in (1, 3, 5)] for c in BITMAP_RAMP]) / 255
+    linear = np.where(rgb <= 0.04045, rgb / 12.92, ((rgb + 0.055) / 1.055) ** 2.4)
+    xyz = linear @ np.array(color.TO_XYZ).T / np.array(color.WHITE)
+    f = np.where(xyz > (6 / 29) ** 3, np.cbrt(xyz), xyz * (29 / 6) ** 2 / 3 + 4 / 29)
+    return [(116 * f[:, 1] - 16).tolist(), (500 * (f[:, 0] - f[:, 1])).tolist(), (200 * (f[:, 1] - f[:, 2])).tolist()]
 
 
-def _channel(k):
-    at = f"cast(('0x' || substr({_HEX}[seg + {{}}], {1 + 2 * k}, 2)) as int)"
-    return f"printf('%02X', cast(floor({at.format(1)} + ({at.format(2)} - {at.format(1)}) * part + 5e-1) as bigint))"
+def _blend(values: list[float]) -> str:
+    levels = "[" + ", ".join(f"{v!r}e0" if "e" not in repr(v) else repr(v) for v in values) + "]"
+    return f"({levels}[seg + 1] + ({levels}[seg + 2] - {levels}[seg + 1]) * part)"
+
+
+def _cubed(f: str, white: float) -> str:
+    return f"(case when {f} > 6e0 / 29e0 then power({f}, 3) else ({f} - 4e0 / 29e0) * 3e0 * power(6e0 / 29e0, 2) end) * {white}e0"
+
+
+def _level(row: tuple[float, float, float]) -> str:
+    c = f"greatest(0e0, {row[0]}e0 * cx + {row[1]}e0 * cy + {row[2]}e0 * cz)"
+    shown = f"case when {c} <= 0.0031308e0 then 12.92e0 * {c} else 1.055e0 * power({c}, 1e0 / 2.4e0) - 0.055e0 end"
+    return f"printf('%02X', cast(floor(least(1e0, {shown}) * 255e0 + 5e-1) as bigint))"
+
+
+_L, _A, _B = _lab()
 
 
 @query("color_ramp", sql("v_icells", f"""
   select dates, var, color, count(*) as n from (
-    select dates, var, '#' || {_channel(0)} || {_channel(1)} || {_channel(2)} || 'FF' as color from (
-      select *, t * 8e0 - seg as part from (
-        select *, cast(least(floor(t * 8e0), 7) as int) as seg from (
-          select dates, var, case when var in ('MeanRelativeHumidity', 'MinRelativeHumidity', 'MaxRelativeHumidity', 'Precipitation', 'PET')
-            then f else 1e0 - f end as t from (
-            select dates, var, case when max(value) over w > min(value) over w
-              then (value - min(value) over w) / (max(value) over w - min(value) over w) else 5e-1 end as f
-            from v_maps window w as (partition by dates, var))))))
+    select dates, var, '#' || {" || ".join(_level(row) for row in color.TO_RGB)} || 'FF' as color from (
+      select *, {_cubed("(fy + ca / 500e0)", color.WHITE[0])} as cx, {_cubed("fy", color.WHITE[1])} as cy, {_cubed("(fy - cb / 200e0)", color.WHITE[2])} as cz from (
+        select *, ({_blend(_L)} + 16e0) / 116e0 as fy, {_blend(_A)} as ca, {_blend(_B)} as cb from (
+          select *, t * 8e0 - seg as part from (
+            select *, cast(least(floor(t * 8e0), 7) as int) as seg from (
+              select dates, var, case when var in ('MeanRelativeHumidity', 'MinRelativeHumidity', 'MaxRelativeHumidity', 'Precipitation', 'PET')
+                then f else 1e0 - f end as t from (
+                select dates, var, case when max(value) over w > min(value) over w
+                  then (value - min(value) over w) / (max(value) over w - min(value) over w) else 5e-1 end as f
+                from v_maps window w as (partition by dates, var))))))))
   group by dates, var, color""", "dates var color", "n", more=_LONLAT))
 def color_ramp(spark, sf):
     return ra.colorize(maps(spark, sf)).groupBy("dates", "var", "color").agg(F.count(F.lit(1)).alias("n"))

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from skygrid.functions import geo
+from skygrid.functions import color, geo
 from skygrid.params import BITMAP_RAMP, BITMAP_SCALE, BITMAP_UNREVERSED, BITMAP_MISSING
 from skygrid.schema import MAP_VARIABLES, NOT_LAYERS
 
@@ -112,29 +112,25 @@ def layer_ranges(layers: DataFrame) -> DataFrame:
     return layers.groupBy("dates", "var").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
 
 
-def ramp_color(value: Column, lo: Column, hi: Column, var: Column) -> Column:
-    """``#RRGGBBAA`` of a value within its layer's range, linear between the colours of the ramp.
+def colorize(layers: DataFrame) -> DataFrame:
+    """Layers with the colour of each cell, ``#RRGGBBAA``, linear in L*a*b* between the colours of the ramp over the layer's range.
 
     The ramp is reversed but for five variables; missing values are transparent, and a layer without
     range takes the middle colour.
     """
-    t = F.when(hi > lo, (value - lo) / (hi - lo)).otherwise(0.5)
-    t = F.when(var.isin(*BITMAP_UNREVERSED), t).otherwise(1.0 - t)
     last = len(BITMAP_RAMP) - 1
-    segment = F.least(F.floor(t * float(last)).cast("int"), F.lit(last - 1))
-    part = t * float(last) - segment
-
-    def channel(k: int) -> Column:
-        levels = F.array(*[F.lit(float(int(c[1 + 2 * k:3 + 2 * k], 16))) for c in BITMAP_RAMP])
-        low, high = F.element_at(levels, segment + 1), F.element_at(levels, segment + 2)
-        return F.lpad(F.hex(F.floor(low + (high - low) * part + 0.5).cast("bigint")), 2, "0")
-
-    return F.when(value.isNull(), BITMAP_MISSING).otherwise(
-        F.concat(F.lit("#"), channel(0), channel(1), channel(2), F.lit("FF")))
-
-
-def colorize(layers: DataFrame) -> DataFrame:
-    """Layers with the colour of each cell."""
+    value, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
+    t = F.when(hi > lo, (value - lo) / (hi - lo)).otherwise(0.5)
     ranged = layers.join(layer_ranges(layers), ["dates", "var"])
-    return ranged.withColumn(
-        "color", ramp_color(F.col("value"), F.col("lo"), F.col("hi"), F.col("var"))).drop("lo", "hi")
+    placed = ranged.withColumn("_t", F.when(F.col("var").isin(*BITMAP_UNREVERSED), t).otherwise(1.0 - t) * float(last))
+    placed = placed.withColumn("_k", F.least(F.floor("_t").cast("int"), F.lit(last - 1))).withColumn("_part", F.col("_t") - F.col("_k"))
+    anchors = dict(zip(("_l", "_a", "_b"), zip(*[color.lab_of(c) for c in BITMAP_RAMP])))
+
+    def between(levels: tuple[float, ...]) -> Column:
+        known = F.array(*[F.lit(v) for v in levels])
+        low = F.element_at(known, F.col("_k") + 1)
+        return low + (F.element_at(known, F.col("_k") + 2) - low) * F.col("_part")
+
+    named = color.with_hex(placed.withColumns({c: between(levels) for c, levels in anchors.items()}), ("_l", "_a", "_b"), "_hex")
+    shown = F.when(value.isNull(), BITMAP_MISSING).otherwise(F.concat(F.lit("#"), "_hex", F.lit("FF")))
+    return named.withColumn("color", shown).drop("lo", "hi", "_t", "_k", "_part", "_l", "_a", "_b", "_hex")

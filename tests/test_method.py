@@ -10,10 +10,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skygrid.functions import calendar as cal, geo, weather
+from skygrid.functions import calendar as cal, color, geo, weather
 from skygrid.operators import bitmaps as bm, calibrate as cb, grid, interpolate as ip, neighbours as nb
 from skygrid.operators import rasters as ra, regions as rg, stations as st, validate as va
-from skygrid.params import CALIBRATED, DAILY_GRID, DEFAULTS, STUDY_GRID
+from skygrid.params import BITMAP_RAMP, CALIBRATED, DAILY_GRID, DEFAULTS, STUDY_GRID
 
 
 def one(df):
@@ -253,6 +253,18 @@ def decode_png(text):
     return raw[:, 1:].reshape(size[1], size[0], 4)
 
 
+def test_colours_of_lab(spark):
+    known = [(53.2408, 80.0925, 67.2032, "FF0000"), (100.0, 0.0, 0.0, "FFFFFF"), (0.0, 0.0, 0.0, "000000"), (50.0, 0.0, 0.0, "777777"), (87.7347, -86.1827, 83.1793, "00FF00")]
+    df = spark.createDataFrame(known, "l double, a double, b double, want string")
+    assert all(r.h == r.want for r in color.with_hex(df, ("l", "a", "b"), "h").collect())
+    assert color.lab_of("#FF0000") == pytest.approx((53.2408, 80.0925, 67.2032), abs=1e-2)
+    # The ramp's own colours stand at eighths of the range.
+    cells = spark.createDataFrame([(date(2024, 1, 1), v, 0, k, float(k)) for v in ("PET", "WindSpeed") for k in range(9)], "dates date, var string, row long, col long, value double")
+    got = {(r["var"], r["col"]): r["color"] for r in ra.colorize(cells).collect()}
+    for k in range(9):
+        assert got["PET", k] == BITMAP_RAMP[k] + "FF" and got["WindSpeed", 8 - k] == BITMAP_RAMP[k] + "FF"
+
+
 def test_png_from_strips(spark):
     raster = ra.Raster(0.0, 50.0, 1.0, 50, 30)
     rng = np.random.default_rng(3)
