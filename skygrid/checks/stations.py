@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from skygrid.checks.geometry import members
-from skygrid.checks.layout import CELL_NUMS, placed, placed_table
+from skygrid.checks.layout import CELL_NUMS, placed, placed_table, stored
 from skygrid.checks.registry import query, sql
+from skygrid.checks.weather import loo_steps
 from skygrid.functions import columns
 from skygrid.operators import calibrate as cb, grid, neighbours as nb, regions as rg, stations as st, validate as va
-from skygrid.params import SHORT_NAMES
+from skygrid.params import DEFAULTS, SHORT_NAMES
 from skygrid.schema import CELL_VARIABLES
-from skygrid.sources import adapters as ad
+from skygrid.sources import adapters as ad, folders, tables
+
 
 def n_rows():
     return F.count(F.lit(1)).alias("n")
@@ -138,22 +140,25 @@ def calibration_summary(spark, sf):
     return cb.summary(table)
 
 
-_PRED = """select dates, i_step, stationid, maxtemperature as obs, mintemperature + 9e0 + i_step % 5 as pred from v_placed"""
+# Leave-one-out predictions of one variable with its standard choice.
+_ONE = {"MaxTemperature": (DEFAULTS.smoothing["MaxTemperature"],)}
+_PRED = loo_steps(_ONE) | {"v_pred": "select dates, i_step, t_id as stationid, obs, pred from v_loo where pred is not null"}
 _CV = """bias, mae, relative_bias, n, case when vo > 1e-9 and vp > 1e-9 then r * r end as r2 from (
   select i_step, avg(pred - obs) as bias, avg(abs(pred - obs)) as mae,
     case when abs(sum(obs)) > 1e-12 * sum(abs(obs)) then sum(pred - obs) / sum(obs) end as relative_bias, count(*) as n,
     corr(pred, obs) as r, var_pop(obs) as vo, var_pop(pred) as vp from v_pred group by i_step)"""
 
 
-def toy_predictions(spark, sf):
-    return placed_table(spark, sf).select(
-        "dates", "i_step", "stationID", F.col("MaxTemperature").alias("obs"),
-        (F.col("MinTemperature") + 9.0 + F.col("i_step") % 5).alias("pred"))
+def predictions(spark, sf):
+    def write(path):
+        tables.materialize(cb.predictions_table(placed_table(spark, sf), ["dates", "i_step"], _ONE), path)
+
+    return spark.read.parquet(stored(spark, sf, "predictions", write)).select("dates", "i_step", "stationID", "obs", "pred").where("pred is not null")
 
 
-@query("cv_stats", sql("v_placed", f"select i_step, {_CV}", "", "i_step n", "bias mae relative_bias r2", more={"v_pred": _PRED}))
+@query("cv_stats", sql("v_placed", f"select i_step, {_CV}", "", "i_step n", "bias mae relative_bias r2", more=_PRED))
 def cv_stats(spark, sf):
-    return va.cv_stats(toy_predictions(spark, sf), ["i_step"])
+    return va.cv_stats(predictions(spark, sf), ["i_step"])
 
 
 # Wide daily statistics per partition, as a cross-validation returns them.
@@ -165,12 +170,12 @@ _LONG = """select i_step, dates, variable_date_stat, value from (select i_step,
   ("MaxTemperature_date_bias", "MaxTemperature_date_mae", "MaxTemperature_date_n", "MaxTemperature_date_low", "Min_date_Temperature_date_bias"))"""
 _SPLIT = """select i_step, dates, value, case when variable_date_stat like 'Min%' then 'Min_date_Temperature' else 'MaxTemperature' end as variable,
   list_last(string_split(variable_date_stat, '_')) as stat from v_long"""
-_STEPS = {"v_pred": _PRED, "v_stats": _STATS, "v_last": _LAST, "v_long": _LONG, "v_split": _SPLIT}
+_STEPS = _PRED | {"v_stats": _STATS, "v_last": _LAST, "v_long": _LONG, "v_split": _SPLIT}
 
 
 def date_stats(spark, sf):
     err = F.col("pred") - F.col("obs")
-    return toy_predictions(spark, sf).groupBy("i_step", "dates").agg(
+    return predictions(spark, sf).groupBy("i_step", "dates").agg(
         F.avg(err).alias("MaxTemperature_date_bias"), F.avg(F.abs(err)).alias("MaxTemperature_date_mae"),
         F.count(F.lit(1)).alias("MaxTemperature_date_n"), F.min("pred").alias("MaxTemperature_date_low"),
         F.avg("pred").alias("Min_date_Temperature_date_bias"))
@@ -207,7 +212,7 @@ def filter_stats(spark, sf):
 
 
 def counted(spark, sf):
-    return toy_predictions(spark, sf).groupBy("i_step").agg(F.count_distinct("stationID").alias("n_stations"))
+    return predictions(spark, sf).groupBy("i_step").agg(F.count_distinct("stationID").alias("n_stations"))
 
 
 @query("cv_station_count", sql("v_placed", """
@@ -226,7 +231,7 @@ def cv_station_count(spark, sf):
     "variable stat", "i_step", "value", more=_STEPS))
 def union_stats(spark, sf):
     long = va.keep_stats(va.split_stats(long_stats(spark, sf))).select("i_step", "variable", "stat", "value")
-    r2 = va.cv_stats(toy_predictions(spark, sf), ["i_step"]).select(
+    r2 = va.cv_stats(predictions(spark, sf), ["i_step"]).select(
         "i_step", F.lit("MaxTemperature").alias("variable"), F.lit("r2").alias("stat"), F.col("r2").alias("value"))
     counts = va.station_count_rows(long, counted(spark, sf), ["i_step"])
     return long.unionByName(r2).unionByName(counts)
@@ -234,7 +239,6 @@ def union_stats(spark, sf):
 
 @query("write_cv", sql("v_placed", "select dates, variable, stat, value from v_split", "dates variable stat", "", "value", more=_STEPS))
 def write_cv(spark, sf):
-    from skygrid.sources import folders, tables
     path = folders.new_folder(spark, "cv")
     tables.write_cv(va.split_stats(long_stats(spark, sf)).select("dates", "variable", "stat", "value"), path)
     return spark.read.parquet(path)
