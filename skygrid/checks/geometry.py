@@ -371,10 +371,17 @@ def write_bitmaps(spark, sf):
     return tables.scan_bitmaps(spark, path).groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.max("max_value").alias("max_value"))
 
 
-@query("scan_bitmaps_by_date")
+@query("scan_bitmaps_by_date", sql("v_icells", """
+  select strftime(dates, '%Y%m%d') as date, var, 'ag_GrnYl' as palette_selected, -5.6e0 as left_ext, 41.7e0 - 24 * 2e-1 as down_ext,
+    -5.6e0 + 32 * 2e-1 as right_ext, 41.7e0 as up_ext, min(value) / 1000e0 as min_value, max(value) / 1000e0 as max_value, true as is_image
+  from v_maps where strftime(dates, '%Y%m%d') = '20000501' group by dates, var""", "date var palette_selected", "",
+    "left_ext down_ext right_ext up_ext min_value max_value", "is_image", more=_LONLAT))
 def scan_bitmaps_by_date(spark, sf):
+    # The images themselves are the result of bitmap_images, and are read back by a test.
     path = stored(spark, sf, "bitmaps", lambda path: tables.write_bitmaps(published_bitmaps(spark, sf), path))
-    return tables.scan_bitmaps(spark, path, "20000501")
+    return tables.scan_bitmaps(spark, path, "20000501").select(
+        "date", "var", "palette_selected", "left_ext", "down_ext", "right_ext", "up_ext", "min_value", "max_value",
+        F.col("base64_string").startswith("data:image/png;base64,").alias("is_image"))
 
 
 @query("polygon_area_topk", sql("v_centres", """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Column and layer names of the stored tables.
 OBS_VARIABLES = (
     "MeanTemperature", "MinTemperature", "MaxTemperature",
     "MeanRelativeHumidity", "MinRelativeHumidity", "MaxRelativeHumidity",
