@@ -171,6 +171,16 @@ def test_jaccard_odd(odd, none):
     assert kept.where("doc_id is null").count() == 2
 
 
+def test_keep_one_goes_by_row(llm):
+    text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
+    other = "a text that links with nothing at all in this small table"
+    rows = [(1, text), (2, text + " extra"), (2, other), (None, text), (None, text + " extra"), (1, text), (3, ""), (3, ""), (4, None)]
+    kept = jaccard.keep_one(llm.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert collections.Counter(map(tuple, kept)) == collections.Counter([(1, text), (2, other), (3, ""), (3, ""), (4, None)])
+    nulls = jaccard.keep_one(llm.createDataFrame(rows[3:5], "doc_id long, text string")).collect()
+    assert len(nulls) == 1
+
+
 def test_components(llm):
     rng = random.Random(9)
     edges = [(i, i + 1) for i in range(40)] + [(rng.randrange(100, 400), rng.randrange(100, 400)) for _ in range(200)] + [(7, 7), (999, 1000)]

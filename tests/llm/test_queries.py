@@ -28,6 +28,9 @@ def test_pipeline(llm, none):
         if name != "bpe":
             assert out.columns == docs.columns
             assert out.join(docs, docs.columns, "left_anti").count() == 0
+        else:
+            read = docs.selectExpr("doc_id", "sha2(coalesce(text, ''), 256) as decoded_sha256")
+            assert sorted(out.select(read.columns).collect()) == sorted(read.collect())
         sizes.append(out.count())
         docs = out
     assert sizes[0] > sizes[1] > sizes[2] > sizes[3] > 0 and sizes[4] == sizes[5]
