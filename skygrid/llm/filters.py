@@ -38,7 +38,7 @@ def filter_bits(table: DataFrame, column: str) -> np.ndarray | None:
     if table.count() * 4 > FILTER_BITS:
         return None
     # At most FILTER_BITS / 32 rows of two numbers.
-    rows = table.select(column).mapInArrow(hashed, "w long, bits long").groupBy("w").agg(F.bit_or("bits").alias("bits")).toPandas()
+    rows = table.select(column).mapInArrow(hashed, "w long, bits long").groupBy("w").agg(F.bit_or("bits").alias("bits")).toArrow()
     bits = np.zeros(FILTER_BITS // 32, np.int64)
-    bits[rows["w"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    bits[rows["w"].to_numpy()] = rows["bits"].to_numpy()
     return bits.astype(np.uint32)
