@@ -133,6 +133,7 @@ def near_copies(seed, n=260):
 @pytest.mark.parametrize("seed, tile", [(1, 4096), (2, 8)])
 def test_jaccard(llm, monkeypatch, seed, tile):
     monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(jaccard, "BUNDLE", 2 * tile)
     rows = near_copies(seed)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(llm.createDataFrame(rows, "doc_id long, text string")).collect()}
     sets = [shingle_set(t) for _, t in rows]
@@ -162,6 +163,17 @@ def test_tree_keeps_every_linkable_pair():
                 assert (j, i) in found
 
 
+@pytest.mark.parametrize("most", [15, 16, 255, 256, 70_000])
+def test_points_keep_counts(most):
+    n = 100
+    groups = jaccard.fineness(n)
+    want = np.zeros(groups, np.int64)
+    want[[0, 1, groups - 1]] = most, 3, 1
+    shift = np.uint64(64 - groups.bit_length() + 1)
+    got = jaccard.counts_of_groups(np.repeat(np.arange(groups, dtype=np.uint64), want) << shift, groups)
+    assert (jaccard.point(got, n) == want).all()
+
+
 def test_jaccard_odd(odd, none):
     got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(odd).collect())
     assert got[(5, 3, 1)] == 2 and got[(11, 3, 1)] == 1 and got[(2, 0, 2)] == 1 and got[(10, 1, 6)] == 1 and got[(8, 6, 8)] + got[(8, 6, 7)] == 1
