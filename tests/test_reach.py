@@ -70,3 +70,13 @@ def test_no_sources_and_radius_of_rows_that_repeat(spark):
     r2 = {r.cell_id: r.rp2_MinTemperature for r in got.collect()}
     assert got.columns == [*targets.columns, "rp2_MinTemperature"] and sorted(r2) == [7, 8, 9]
     assert r2[9] == 140000.0**2 and 0 < r2[8] < 140000.0**2 and r2[7] != pytest.approx(r2[8], rel=1e-3)
+
+
+def test_every_row_of_a_cell_is_published(spark):
+    topo, obs = tables(spark)
+    moments = ip.interpolate(topo, obs)
+    placed, plain = (ip.finish_cells(moments, topo, days=days).drop("geom_hex", "geom_text") for days in (obs, None))
+    a, b = (sorted(df.collect(), key=lambda r: (r.dates, r.cell_id)) for df in (placed, plain))
+    assert placed.columns == plain.columns and len(a) == len(b) == 32 * 5
+    for x, y in zip(a, b):
+        assert tuple(x) == pytest.approx(tuple(y))
