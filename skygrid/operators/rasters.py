@@ -58,18 +58,37 @@ def rasterize(cells: DataFrame, raster: Raster, variables=MAP_VARIABLES, order:
 
     Variables stay columns until each cell is settled, so the shuffle carries one row per cell-day.
     """
-    placed = point_to_cell(cells, raster).filter(F.col("cell").isNotNull())
-    values = F.struct(*variables)
-    settled = placed.groupBy("dates", "row", "col").agg(F.max_by(values, order).alias("v")).select(
-        "dates", "row", "col", "v.*")
-    return settled.unpivot(["dates", "row", "col"], list(variables), "var", "value")
+    return _settled(cells, raster, variables, order, 1).drop("brow", "bcol").unpivot(["dates", "row", "col"], list(variables), "var", "value")
+
+
+def rasterize_blocks(cells: DataFrame, raster: Raster, factor: int, variables=MAP_VARIABLES, order: str = "cell_id") -> DataFrame:
+    """``block_mean`` of ``rasterize``: points move once, to the task of their block, and variables stay columns until it has its means."""
+    settled = _settled(cells, raster, variables, order, factor)
+    means = settled.groupBy("dates", "brow", "bcol").agg(*[F.avg(v).alias(v) for v in variables])
+    long = means.withColumnsRenamed({"brow": "row", "bcol": "col"}).unpivot(["dates", "row", "col"], list(variables), "var", "value")
+    return long.select("dates", "var", "row", "col", "value")
+
+
+def _block(c: str, factor: int) -> Column:
+    return F.floor(F.col(c) / factor).cast("bigint")
+
+
+def _settled(cells: DataFrame, raster: Raster, variables, order: str, factor: int) -> DataFrame:
+    """One row per date and raster cell, in the task of its block of ``factor`` by ``factor`` cells (``brow, bcol``).
+
+    Variables are picked one by one, which picks the same point for all: numbers keep the aggregate on the hash path, a struct would have
+    every cell-day sorted.
+    """
+    points = point_to_cell(cells, raster).filter(F.col("cell").isNotNull()).select(
+        "dates", "row", "col", _block("row", factor).alias("brow"), _block("col", factor).alias("bcol"), F.col(order).alias("_order"), *variables)
+    home = ["dates", "brow", "bcol"]
+    return points.repartition(*home).groupBy(*home, "row", "col").agg(*[F.max_by(v, "_order").alias(v) for v in variables])
 
 
 def block_mean(layers: DataFrame, factor: int) -> DataFrame:
     """Mean of each block of cells, missing cells left out."""
     return layers.groupBy(
-        "dates", "var", F.floor(F.col("row") / factor).cast("bigint").alias("row"),
-        F.floor(F.col("col") / factor).cast("bigint").alias("col")).agg(F.avg("value").alias("value"))
+        "dates", "var", _block("row", factor).alias("row"), _block("col", factor).alias("col")).agg(F.avg("value").alias("value"))
 
 
 def projection_weights(spark: SparkSession, source: Raster, target: Raster) -> DataFrame:
