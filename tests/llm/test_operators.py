@@ -144,6 +144,25 @@ def test_jaccard(llm, monkeypatch, seed, tile):
     assert got == {i: (len(sets[i]), least[roots[i]]) for i in range(len(rows))}
 
 
+def test_bundles_are_searched_again_only_for_pairs_kept_back(llm, monkeypatch):
+    turns, between = [], jaccard._between
+    monkeypatch.setattr(jaccard, "coarse_counts", lambda *_: np.zeros(1 << jaccard.COARSE_BITS, np.uint8))
+    monkeypatch.setattr(jaccard, "_between", lambda *args: turns.append(args[-1]) or between(*args))
+    # A common beginning makes them meet, and is too short to link them.
+    common = " ".join(f"c{i}" for i in range(40))
+    rows = [(k, common + " " + " ".join(f"w{k}x{i}" for i in range(30))) for k in range(6)]
+    got = jaccard.near_duplicates(llm.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.component_id) for r in got.collect()) == [(k, k) for k in range(6)] and turns == [True]
+    # With none given out, the second search finds every link that the centres left.
+    turns.clear()
+    monkeypatch.setattr(jaccard, "FEW", 0)
+    monkeypatch.setattr(jaccard, "ENDS", "array(xxhash64(sig))")
+    near = [(k, common + " " + " ".join(f"w{k}x{i}" for i in range(3))) for k in range(6)] + [(k + 10, t) for k, t in rows]
+    got = jaccard.near_duplicates(llm.createDataFrame(near, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.component_id) for r in got.collect()) == [(k, 0) for k in range(6)] + [(k + 10, k + 10) for k in range(6)]
+    assert turns == [True, False]
+
+
 def test_tree_keeps_every_linkable_pair():
     rng = np.random.default_rng(0)
     rule = jaccard.Rule()
@@ -193,6 +212,15 @@ def test_keep_one_goes_by_row(llm):
     assert len(nulls) == 1
 
 
+@pytest.mark.parametrize("keep", [jaccard.keep_one, exact.deduplicate])
+def test_rows_that_stay_are_not_shuffled(llm, keep):
+    rows = [(k, f"text {k} of its own " + "word " * (k % 7 + 9) + str(k)) for k in range(40)] + [(50, "text 3 of its own " + "word " * 12 + "3")]
+    kept = keep(llm.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect())) == sorted(rows[:-1])
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert " Exchange " not in plan and "BroadcastExchange" in plan
+
+
 def test_components(llm):
     rng = random.Random(9)
     edges = [(i, i + 1) for i in range(40)] + [(rng.randrange(100, 400), rng.randrange(100, 400)) for _ in range(200)] + [(7, 7), (999, 1000)]
@@ -528,3 +556,10 @@ def test_exact(llm, odd, none, stride):
     assert exact.groups(none).collect() == []
     stays = exact.deduplicate(odd)
     assert stays.columns == odd.columns and stays.count() == len({SPACE.sub(" ", r[1] or "") for r in ODD})
+
+
+def test_exact_with_more_shared_strides_than_every_task_gets(llm, monkeypatch):
+    monkeypatch.setattr(exact, "MARKS", 0)
+    rows = [(1, "a b"), (2, "a  b"), (3, "x" * 300), (4, "x" * 300), (4, "x" * 300), (5, "x" * 301), (6, None), (None, "")]
+    got = sorted(((r.doc_id or 0, r.keep_id, r.group_size, r.kept) for r in exact.groups(llm.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == [(0, 6, 2, False), (1, 1, 2, True), (2, 1, 2, False), (3, 3, 3, True), (4, 3, 3, False), (4, 3, 3, False), (5, 5, 1, True), (6, 6, 2, True)]
