@@ -13,6 +13,9 @@ own counts, are dealt by their second word into buckets; a bucket holds all ther
 joining are one grouping. What then lacks the count of its context is dealt once more, by context. N-grams travel as packed and compressed
 columns, a row per bucket and half a million n-grams that a task holds.
 
+Those half a million are a chunk, and its n-grams name their document by its place in the chunk: some bits, as places ascend. The documents of a chunk
+travel once. Sums go back to the bucket of their chunk, packed, and are added there by place, so that a chunk makes a row per document.
+
 The number of buckets follows the number of words, so that a bucket, which a task holds whole, has some half a million pairs
 whatever the corpus and the settings. Words and pairs that make a 4,096th of the corpus or more, or more than a bucket shall
 hold (4,096 of each at most, or the number of buckets, so of a proven size), are found first by counts in 65,536 groups, counted
@@ -29,6 +32,7 @@ one document scores its words as occurring nowhere else; an empty table gives an
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -93,10 +97,18 @@ def _words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield first, np.maximum(h & _MASK, np.uint64(1)), np.repeat(np.arange(len(off) - 1), np.diff(off))
 
 
-def _own(row: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """How often each (row, x) occurs, for every position."""
-    _, back, n = np.unique(wd.mixed(x * wd._STEP + row.astype(np.uint64)), return_inverse=True, return_counts=True)
-    return n[back]
+def _own(row: np.ndarray, x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How often the (row, x) of each position ``at`` occurs among all positions."""
+    key = wd.mixed(x * wd._STEP + row.astype(np.uint64))
+    if 4 * len(at) < len(key):
+        # Only what has an x of those is counted.
+        wanted = np.unique(x[at])
+        key = np.concatenate([key[at], key[wanted[np.minimum(np.searchsorted(wanted, x), len(wanted) - 1)] == x]])
+        _, back, n = np.unique(key, return_inverse=True, return_counts=True)
+        asked = back[:len(at)]
+        return (n - np.bincount(asked, minlength=len(n)))[asked]
+    _, back, n = np.unique(key, return_inverse=True, return_counts=True)
+    return n[back[at]]
 
 
 def _grouped(docs: DataFrame, order: int) -> tuple[np.ndarray, int]:
@@ -196,8 +208,35 @@ def _chosen(often: dict, grams: list[tuple], counts: dict[int, np.ndarray], own_
     return s + (top - level) * np.log(BACKOFF), (level < top).astype(np.int64), (level == 1).astype(np.int64), context, own, more
 
 
-class _Sums:
+class _Chunks:
+    """Documents by chunk and place in it, in one numbering of all that a task has met."""
+
     def __init__(self):
+        self.names: list[tuple[int, int]] = []
+        self.first: dict[int, int] = {}
+        self.starts: list[int] = []
+        self.total = 0
+
+    def slots(self, names: np.ndarray, number: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The documents at a place of the chunk of that number among ``names`` (chunk, size)."""
+        for chunk, size in names.tolist():
+            if chunk not in self.first:
+                self.first[chunk] = self.total
+                self.names.append((chunk, size))
+                self.starts.append(self.total)
+                self.total += size
+        return np.array([self.first[chunk] for chunk, _ in names.tolist()], np.int64)[number] + place
+
+    def split(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of the chunk and place in it."""
+        starts = np.array(self.starts, np.int64)
+        number = np.searchsorted(starts, slots, "right") - 1
+        return number, slots - starts[number]
+
+
+class _Sums:
+    def __init__(self, chunks: _Chunks | None = None, n_buckets: int = 1):
+        self.chunks, self.n_buckets = chunks, n_buckets
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.rows = 0
 
@@ -215,40 +254,62 @@ class _Sums:
 
     def merged(self) -> tuple[np.ndarray, ...]:
         rid, *cols = (np.concatenate(x) for x in zip(*self.parts))
+        low = int(rid.min())
+        if int(rid.max()) - low < 4 * HELD:
+            at = rid - low
+            there = np.flatnonzero(np.bincount(at))
+            return there + low, *[np.bincount(at, x)[there] for x in cols]
         ids, at = np.unique(rid, return_inverse=True)
         return ids, *[np.bincount(at, x, len(ids)) for x in cols]
 
     def rest(self) -> Iterator[pa.RecordBatch]:
-        """A row of kind -1."""
+        """A row of kind -1, or a row of kind 4 for every chunk."""
         if self.parts:
             rid, s, *n = self.merged()
             self.parts, self.rows = [], 0
+            if self.chunks is not None:
+                number, place = self.chunks.split(rid)
+                first = np.concatenate([[0], np.flatnonzero(np.diff(number)) + 1, [len(rid)]])
+                rows = []
+                for a, b in zip(first, first[1:]):
+                    chunk = self.chunks.names[number[a]][0]
+                    data = _planes(np.diff(place[a:b], prepend=0)) + s[a:b].astype("<f8").tobytes() + b"".join(_planes(x[a:b]) for x in n)
+                    rows.append((chunk % self.n_buckets, 4, int(b - a), chunk.to_bytes(8, "little", signed=True) + pa.compress(data, "zstd", asbytes=True)))
+                yield _batch(rows)
+                return
             data = rid.astype("<i8").tobytes() + s.astype("<f8").tobytes() + b"".join(x.astype("<i8").tobytes() for x in n)
             yield _batch([(0, -1, len(rid), pa.compress(data, "zstd", asbytes=True))])
 
 
 def _planes(x: np.ndarray) -> bytes:
     """Counts, lowest bytes first, so that the high ones are runs of zeros."""
-    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return np.ascontiguousarray(x.astype(np.int64).astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _flat(x: np.ndarray, n: int) -> list[np.ndarray]:
+    """The columns of n counts that ``_planes`` made."""
+    return [np.ascontiguousarray(c.T).view("<u4").ravel() for c in x.reshape(-1, 4, n)]
 
 
-def _row(bucket: int, kind: int, hashes: list[np.ndarray], rid: np.ndarray, counts: list[np.ndarray]) -> tuple:
-    data = b"".join([*[_six(x) for x in hashes], rid.astype("<i8").tobytes(), *[_planes(x) for x in counts]])
-    return bucket, kind, len(rid), pa.compress(data, "zstd", asbytes=True)
+def _row(bucket: int, kind: int, hashes: list[np.ndarray], names: list[tuple[int, int]], number: np.ndarray, place: np.ndarray, counts: list[np.ndarray]) -> tuple:
+    """The chunks, then what is compressed. Places follow as steps, which are small where documents lie in order."""
+    data = b"".join([*[_six(x) for x in hashes], _planes(number), _planes(np.diff(place, prepend=0)), *[_planes(x) for x in counts]])
+    head = np.array([(len(names), 0), *names], "<i8").tobytes()
+    return bucket, kind, len(number), head + pa.compress(data, "zstd", asbytes=True)
 
 
 class _Held:
     """Pairs to deal out, gathered over batches: a task makes one packed row a bucket and HELD pairs, whatever it reads."""
 
-    def __init__(self, kind: int, n_buckets: int, n_hashes: int):
-        self.kind, self.n_buckets, self.n_hashes = kind, np.uint64(n_buckets), n_hashes
+    def __init__(self, kind: int, n_buckets: int, n_hashes: int, chunks: _Chunks | None = None):
+        self.kind, self.n_buckets, self.n_hashes, self.chunks = kind, n_buckets, n_hashes, chunks
         self.parts: list[list[np.ndarray]] = []
         self.rows = 0
 
     def add(self, key: np.ndarray, hashes: list[np.ndarray], rid: np.ndarray, counts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        """Pairs that go to the bucket of their key; those of a document lie together."""
+        """Pairs that go to the bucket of their key; those of a document lie together. ``rid`` are numbers in ``chunks``, if there are any."""
         if len(key):
-            self.parts.append([(wd.mixed(key) % self.n_buckets).astype(np.int32), *hashes, rid, *[c.astype(np.uint32) for c in counts]])
+            self.parts.append([(wd.mixed(key) % np.uint64(self.n_buckets)).astype(np.int32), *hashes, rid, *[c.astype(np.uint32) for c in counts]])
             self.rows += len(key)
         if self.rows >= HELD:
             yield from self.rest()
@@ -257,12 +318,27 @@ class _Held:
         if self.parts:
             buckets, *cols = (np.concatenate(x) for x in zip(*self.parts))
             self.parts, self.rows = [], 0
+            n, rows = self.n_hashes, []
+            rid = cols[n]
+            if self.chunks is None:
+                # A new chunk: its documents are a row of kind 3. Its name follows from them, so it is the same in a task that is repeated.
+                new = np.concatenate([[True], rid[1:] != rid[:-1]])
+                docs = rid[new].astype("<i8").tobytes()
+                chunk = int.from_bytes(hashlib.blake2b(docs, digest_size=8).digest(), "little", signed=True)
+                number, place, names = np.zeros(len(rid), np.int64), np.cumsum(new) - 1, [(chunk, len(docs) // 8)]
+                if self.kind == 0:
+                    rows.append((chunk % self.n_buckets, 3, 0, chunk.to_bytes(8, "little", signed=True) + docs))
+            else:
+                number, place = self.chunks.split(rid)
             order = np.argsort(buckets, kind="stable")
             limits = np.flatnonzero(np.diff(buckets[order])) + 1
-            n = self.n_hashes
-            yield _batch([
-                _row(int(buckets[part[0]]), self.kind, [c[part] for c in cols[:n]], cols[n][part], [c[part] for c in cols[n + 1:]])
-                for part in np.split(order, limits)])
+            for part in np.split(order, limits):
+                of = number[part]
+                if self.chunks is not None:
+                    used, of = np.unique(of, return_inverse=True)
+                    names = [self.chunks.names[i] for i in used]
+                rows.append(_row(int(buckets[part[0]]), self.kind, [c[part] for c in cols[:n]], names, of, place[part], [c[part] for c in cols[n + 1:]]))
+            yield _batch(rows)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -270,15 +346,18 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int64(), pa.binary()))], NAMES)
 
 
-def _unpacked(rows: list[tuple[int, bytes]], n_hashes: int, n_counts: int) -> list[np.ndarray]:
-    """Hashes, rid and counts of packed rows, each in one array that is filled row by row."""
+def _unpacked(rows: list[tuple[int, bytes]], n_hashes: int, n_counts: int, chunks: _Chunks) -> list[np.ndarray]:
+    """Hashes, documents numbered by ``chunks`` and counts of packed rows, each in one array that is filled row by row."""
     total, at = sum(n for n, _ in rows), 0
     out = [np.empty(total, t) for t in (*[np.uint64] * n_hashes, np.int64, *[np.uint32] * n_counts)]
     for n, data in rows:
-        x = np.frombuffer(pa.decompress(data, n * (6 * n_hashes + 8 + 4 * n_counts), "zstd", asbytes=True), np.uint8)
-        hashes, rid, counts = np.split(x, [6 * n_hashes * n, (6 * n_hashes + 8) * n])
-        parts = [*map(_eight, hashes.reshape(n_hashes, -1)), rid.view("<i8")]
-        for to, part in zip(out, [*parts, *[np.ascontiguousarray(c.T).view("<u4").ravel() for c in counts.reshape(n_counts, 4, n)]]):
+        n_names = int.from_bytes(data[:8], "little")
+        names = np.frombuffer(data, "<i8", 2 * n_names, 16).reshape(-1, 2)
+        x = np.frombuffer(pa.decompress(memoryview(data)[16 + 16 * n_names:], n * (6 * n_hashes + 8 + 4 * n_counts), "zstd", asbytes=True), np.uint8)
+        hashes, rest = np.split(x, [6 * n_hashes * n])
+        number, step, *counts = _flat(rest, n)
+        rid = chunks.slots(names, number, np.cumsum(step, dtype=np.uint32).astype(np.int64))
+        for to, part in zip(out, [*map(_eight, hashes.reshape(n_hashes, -1)), rid, *counts]):
             to[at:at + n] = part
         at += n
     return out
@@ -302,6 +381,26 @@ def _by_bucket(df: DataFrame) -> DataFrame:
     return df.repartition("bucket").sortWithinPartitions("bucket")
 
 
+def _by_document(df: DataFrame) -> DataFrame:
+    """Rows of kinds 3 and 4 as rid, s, n, alone: the sums of a chunk added up, a row per document of it."""
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for kinds in _buckets(batches):
+            docs = {data[:8]: np.frombuffer(data, "<i8", offset=8) for _, data in kinds[3]}
+            sums = {chunk: [np.zeros(len(rid)) for _ in range(3)] for chunk, rid in docs.items()}
+            for n, data in kinds.get(4, []):
+                x = np.frombuffer(pa.decompress(memoryview(data)[8:], 20 * n, "zstd", asbytes=True), np.uint8)
+                place = np.cumsum(_flat(x[:4 * n], n)[0], dtype=np.uint32)
+                for to, part in zip(sums[data[:8]], [x[4 * n:12 * n].view("<f8"), *_flat(x[12 * n:], n)]):
+                    to[place] += part
+            for chunk, (s, n, alone) in sums.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(docs[chunk]), pa.array(s), pa.array(n.astype(np.int64)), pa.array(alone.astype(np.int64))], ["rid", "s", "n", "alone"])
+
+    # Dealt as buckets are, by the chunk.
+    dealt = df.where("kind in (3, 4)").repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(added, "rid long, s double, n long, alone long")
+
+
 def _sums_of(df: DataFrame) -> DataFrame:
     """The rows of kind -1 as rid, s, n, alone."""
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,9 +442,14 @@ def score(docs: DataFrame, order: int = 2) -> DataFrame:
                             c, n = c[seldom], n[seldom]
                             yield from held.add(c, [c], np.zeros(len(c), np.int64), [n])
                 pair = wd.mixed(_gram(windows) * wd._STEP + row.astype(np.uint64))
+                # Of the few that are scored here, the others are not told apart first.
+                among = slice(None) if pairs_only else np.flatnonzero(_dealt(often, windows)[2])
+                pair = pair[among]
                 _, at, m = np.unique(pair, return_index=True, return_counts=True)
                 by_place = np.argsort(at)
                 at, m = at[by_place], m[by_place]
+                if not pairs_only:
+                    at = among[at]
                 xs, r = [x[at] for x in windows], rids[first + row[at]]
                 grams, key, now = _dealt(often, xs)
                 # What has all its counts is scored here: frequent pairs, and frequent words at the start.
@@ -355,9 +459,9 @@ def score(docs: DataFrame, order: int = 2) -> DataFrame:
                 own_g, own_c = {order: m[wanted]}, {}
                 for k, g, there, c in _grams(windows):
                     if k < order:
-                        own_g[k] = _own(row, g)[at][wanted]
+                        own_g[k] = _own(row, g, at[wanted])
                     if k > 1:
-                        own_c[k] = np.where(there, _own(row, c), 0)[at][wanted]
+                        own_c[k] = np.where(there[at[wanted]], _own(row, c, at[wanted]), 0)
                 m, r = m[wanted], r[wanted]
                 if pairs_only:
                     counts = [own_g[k] for k in range(order, 0, -1)] + [own_c[k] for k in range(order, 1, -1)]
@@ -370,10 +474,15 @@ def score(docs: DataFrame, order: int = 2) -> DataFrame:
         yield from sums.rest()
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, sums, held = shared.value, _Sums(), _Held(2, n_buckets, 1)
+        chunks = _Chunks()
+        often, sums, held = shared.value, _Sums(chunks, n_buckets), _Held(2, n_buckets, 1, chunks)
         for kinds in _buckets(batches):
+            if 3 in kinds:
+                yield _batch([(int.from_bytes(data[:8], "little", signed=True) % n_buckets, 3, n, data) for n, data in kinds[3]])
+            if 0 not in kinds:
+                continue
             # A part of the bucket at a time, by the key that dealt it.
-            cols = _unpacked(kinds.pop(0), order, 2 * order - 1)
+            cols = _unpacked(kinds.pop(0), order, 2 * order - 1, chunks)
             of = (wd.mixed(_dealt(often, cols[:order])[1]) >> np.uint64(61)).astype(np.uint8)
             for part in range(8):
                 yield from scored(often, sums, held, [c[of == part] for c in cols])
@@ -394,13 +503,14 @@ def score(docs: DataFrame, order: int = 2) -> DataFrame:
             yield from held.add(context[more], [context[more]], rid[more], [m[more], own[more]])
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _Sums()
+        chunks = _Chunks()
+        sums = _Sums(chunks, n_buckets)
         for kinds in _buckets(batches):
             if 2 not in kinds:
                 continue
-            c, _, n = _unpacked(kinds[1], 1, 1)
+            c, _, n = _unpacked(kinds[1], 1, 1, _Chunks())
             keys, at = np.unique(c, return_inverse=True)
-            v, rid, m, own = _unpacked(kinds[2], 1, 2)
+            v, rid, m, own = _unpacked(kinds[2], 1, 2, chunks)
             b = _lookup((keys, np.bincount(at, n.astype(np.int64)).astype(np.int64)), v) - own.astype(np.int64)
             none = np.zeros(len(m))
             yield from sums.add(rid, -m.astype(np.int64) * np.log(np.maximum(b, 1)), none, none)
@@ -411,7 +521,7 @@ def score(docs: DataFrame, order: int = 2) -> DataFrame:
     second = written(_by_bucket(dealt).mapInArrow(pairs, _PACKED), "lm-pairs")
     first = written(docs.select("text", "rid").mapInArrow(lambda b: read(b, False), _PACKED), "lm-contexts")
     third = _by_bucket(first.where("kind = 1").unionByName(second.where("kind = 2"))).mapInArrow(contexts, _PACKED)
-    sums = _sums_of(first).unionByName(_sums_of(second)).unionByName(_sums_of(third)).groupBy("rid").agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("alone").alias("alone"))
+    sums = _sums_of(first).unionByName(_by_document(second.unionByName(third))).groupBy("rid").agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("alone").alias("alone"))
     # Rows that are the same share a number; each has its part of the sums.
     sized = docs.select("doc_id", "rid", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"))
     alike = sized.groupBy("rid").agg(F.count(F.lit(1)).alias("k"))

@@ -426,6 +426,30 @@ def test_trigrams_back_off_to_pairs_and_words(llm, none, monkeypatch):
     assert lm.score(none, order=3).collect() == []
 
 
+def test_sums_make_a_row_a_document(llm, monkeypatch):
+    """Sums of a document from many buckets are added in packed form: one row of what was dealt out, one of what was scored where it was read."""
+    for name, value in (("BUCKET", 32), ("HELD", 64), ("SHARE", 16), ("CONTEXTS", 16)):
+        monkeypatch.setattr(lm, name, value)
+    sums = []
+    for name in ("_sums_of", "_by_document"):
+        def seen(df, made=getattr(lm, name, None)):
+            sums.append(made(df))
+            return sums[-1]
+
+        monkeypatch.setattr(lm, name, seen, raising=False)
+    rows = lm_rows(3)
+    like(lm.score(llm.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect(), backed_off(rows, 2))
+    assert 0 < sum(x.count() for x in sums) <= 2 * len(rows)
+
+
+def test_own_counts_of_some_positions():
+    rng = np.random.default_rng(4)
+    row, x = np.sort(rng.integers(0, 9, 500)), rng.integers(0, 40, 500).astype(np.uint64)
+    want = np.array([((row == r) & (x == w)).sum() for r, w in zip(row, x)])
+    for at in (np.arange(500), np.flatnonzero(x < 3), np.array([499, 7]), np.flatnonzero(x < 20)):
+        assert lm._own(row, x, at).tolist() == want[at].tolist()
+
+
 # 7 suffix arrays
 
 def test_suffix_array():
