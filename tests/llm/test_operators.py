@@ -472,6 +472,17 @@ def brute_removed(docs):
     return out
 
 
+def test_passages_go_by_bytes(llm):
+    """A passage of over 50 words that two documents share goes if it has 400 bytes, and stays if it has fewer."""
+    rng = random.Random(11)
+    text = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 10))) for _ in range(n))
+    passages = [text(n) for n in range(51, 91)]
+    rows = [(2 * i + j, f"{text(20)} {'<[' [j]}{p}{'>]' [j]} {text(20)}") for i, p in enumerate(passages) for j in (0, 1)]
+    got = {r.doc_id: r.n_removed for r in suffix.remove_repeats(llm.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {2 * i + j: len(p) * (len(p) >= 400) for i, p in enumerate(passages) for j in (0, 1)}
+    assert 0 < sum(len(p) >= 400 for p in passages) < len(passages)
+
+
 @pytest.mark.parametrize("most", [4096, 3])
 def test_repeats(llm, monkeypatch, odd, none, most):
     monkeypatch.setattr(suffix, "CLASS", most)
