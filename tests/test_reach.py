@@ -80,3 +80,24 @@ def test_every_row_of_a_cell_is_published(spark):
     assert placed.columns == plain.columns and len(a) == len(b) == 32 * 5
     for x, y in zip(a, b):
         assert tuple(x) == pytest.approx(tuple(y))
+
+
+def test_near_stations_like_their_pairs(spark, monkeypatch):
+    """Counts, least and mean distances without a row per pair, in blocks smaller than a chunk."""
+    monkeypatch.setattr("skygrid.operators.reach.MOST", 64)
+    cells = [(k, k % 3, k % 2, 7.0 * k, 5.0 * (k % 7)) for k in range(60)]
+    targets = spark.createDataFrame(
+        [*cells, cells[4], (None, 0, 0, 50.0, 9.0), (100, 0, 0, None, 9.0), (101, 0, 0, 9e9, 0.0), (102, 8, 0, 1.0, 1.0)],
+        "cell_id long, i_step int, chunk int, x double, y double")
+    sources = spark.createDataFrame(
+        [(f"s{k % 19}" if k % 5 else None, k % 3, k % 2, 11.0 * (k % 31), 4.0 * (k % 9)) for k in range(80)]
+        + [("far", 0, 0, None, 1.0), ("nan", 0, 0, float("nan"), 1.0), ("alone", 9, 0, 1.0, 1.0)], "s_id string, i_step int, chunk int, sx double, sy double")
+    r, keys = F.sqrt("r2"), ["i_step", "chunk"]
+    want = nb.near_pairs(targets, sources, keys, F.lit(55.0**2)).groupBy("cell_id").agg(
+        F.count("s_id").alias("n"), F.min(r).alias("nearest"), F.avg(r).alias("mean_r"))
+    found = nb.near_stations(targets, sources, keys, "cell_id", "s_id", 55.0)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    got, want = ({x.cell_id: tuple(x)[1:] for x in df.collect()} for df in (found, want))
+    assert got.keys() == want.keys() and got[102] == (0, None, None) and got[101] == (0, None, None)
+    for k, row in want.items():
+        assert got[k] == pytest.approx(row, abs=1e-9), k
