@@ -2,10 +2,12 @@
 
 from datetime import date, timedelta
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from skygrid.operators import interpolate as ip, neighbours as nb
+from skygrid.operators import interpolate as ip, neighbours as nb, reach as rc
 from tests.test_method import OBS, stations
 from tests.test_placement import nodes
 
@@ -101,3 +103,41 @@ def test_near_stations_like_their_pairs(spark, monkeypatch):
     assert got.keys() == want.keys() and got[102] == (0, None, None) and got[101] == (0, None, None)
     for k, row in want.items():
         assert got[k] == pytest.approx(row, abs=1e-9), k
+
+
+def test_passes_look_near_the_block(monkeypatch):
+    """Of the sources of a day only those near a block of targets are looked at again; before, all of them were."""
+    class Counted:
+        n = 0
+
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def take(self, a, indices, axis=None, **kwargs):
+            Counted.n += len(a) * len(indices)
+            return np.take(a, indices, axis=axis, **kwargs)
+
+    rng = np.random.default_rng(4)
+    size, own, days = 700, 900, 3
+    x, y, z = 3e5 + rng.uniform(0, 3e4, size), 41e5 + rng.uniform(0, 3e4, size), rng.uniform(0, 1, size)
+    cells = pa.table({"cell_id": np.arange(size), "x": x, "y": y, "z": z})
+    sx, sy = 3e5 + rng.uniform(-1e5, 13e4, own), 41e5 + rng.uniform(-1e5, 13e4, own)
+    u, v = rng.normal(0, 3, (days, own)), rng.normal(0, 3, (days, own))
+    dates = pa.array(np.repeat(np.arange(days, dtype=np.int32), own)).cast(pa.date32())
+    sources = pa.table({"dates": dates, "is_day": [False] * own * days, "sx": np.tile(sx, days), "sy": np.tile(sy, days), "sz": [0.5] * own * days, "s_u": u.ravel(), "s_v": v.ravel()})
+    heads = pa.table({"dates": pa.array(np.arange(days, dtype=np.int32)).cast(pa.date32()), "is_day": [True] * days})
+    names = ["dates", "cell_id", *rc.sum_names(["Wind"])]
+    kinds = {n: pa.date32() if n == "dates" else pa.int64() if n == "cell_id" else pa.float64() for n in names}
+    n, alpha, start, passes = 5.0, 3.0, 140000.0, 3
+    work = rc.place_sums(["Wind"], {"Wind": "s_u"}, {"Wind": (n, alpha)}, {"radius": start, "passes": passes, "max_f": 0.6}, names, kinds)
+    monkeypatch.setattr(rc, "np", Counted())
+    got = work(cells, pa.concat_tables([sources, heads], promote_options="default")).sort_by([("dates", "ascending"), ("cell_id", "ascending")])
+    assert 0 < Counted.n < size * own * days / 2
+    r2 = (x[:, None] - sx) ** 2 + (y[:, None] - sy) ** 2
+    rp2 = np.full(size, start**2)
+    for k in range(passes + 1):
+        w = np.where(r2 <= rp2[:, None], np.exp(-alpha * r2 / rp2[:, None]) - np.exp(-alpha), 0.0)
+        mean = (1 - np.exp(-alpha)) / alpha - np.exp(-alpha)
+        rp2 = np.where(w.sum(axis=1) > 0, (1 if k == passes - 1 else 2) * n * mean * rp2 / w.sum(axis=1), rp2)
+    for name, want in (("w_Wind", np.tile(w.sum(axis=1), days)), ("wu_Wind", (u @ w.T).ravel()), ("wv_Wind", (v @ w.T).ravel())):
+        assert np.allclose(got.column(name).to_numpy(), want, rtol=1e-8, atol=1e-9), name
